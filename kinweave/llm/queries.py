@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, quality, urlfilter
+from . import licenses, quality, urlfilter, warc
 from .common import table
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.templates(spark))
 
@@ -20,6 +24,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_words_left", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op4_license_scans, op8_url_filters, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op2_warc, op4_license_scans, op8_url_filters, op10_quality_rules)}
 
-ORACLES = {"op4_license_scans": licenses.oracle(), "op8_url_filters": urlfilter.oracle(), "op10_quality_rules": quality.ORACLE}
+ORACLES = {"op2_warc": warc.ORACLE, "op4_license_scans": licenses.oracle(), "op8_url_filters": urlfilter.oracle(), "op10_quality_rules": quality.ORACLE}

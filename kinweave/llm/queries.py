@@ -4,9 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, quality, urlfilter, warc
+from . import bpe, htmltext, licenses, quality, urlfilter, warc
 from .common import table
 
+#: The vocabulary that op1 and the pipeline encode by.
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+def vocabulary(spark: SparkSession, ranks: str = RANKS) -> bpe.Vocabulary:
+    import public_tokenizers
+
+    return bpe.Vocabulary(spark, public_tokenizers.path(ranks), public_tokenizers.PATTERN)
+
+
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), vocabulary(spark))
+
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
@@ -16,6 +29,10 @@ def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.templates(spark))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"))
 
@@ -24,6 +41,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_words_left", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op4_license_scans, op8_url_filters, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_warc, op4_license_scans, op5_html_extraction, op8_url_filters, op10_quality_rules)}
 
 ORACLES = {"op2_warc": warc.ORACLE, "op4_license_scans": licenses.oracle(), "op8_url_filters": urlfilter.oracle(), "op10_quality_rules": quality.ORACLE}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, htmltext, licenses, quality, urlfilter, warc
+from . import bpe, htmltext, licenses, ngram_join, quality, urlfilter, warc
 from .common import table
 
 #: The vocabulary that op1 and the pipeline encode by.
@@ -33,6 +33,10 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(table(spark, sf_dir, "documents"))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"))
 
@@ -41,6 +45,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_words_left", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_warc, op4_license_scans, op5_html_extraction, op8_url_filters, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_warc, op4_license_scans, op5_html_extraction, op6_ngram_jaccard_join, op8_url_filters, op10_quality_rules)}
 
-ORACLES = {"op2_warc": warc.ORACLE, "op4_license_scans": licenses.oracle(), "op8_url_filters": urlfilter.oracle(), "op10_quality_rules": quality.ORACLE}
+ORACLES = {"op2_warc": warc.ORACLE, "op4_license_scans": licenses.oracle(), "op6_ngram_jaccard_join": ngram_join.ORACLE, "op8_url_filters": urlfilter.oracle(), "op10_quality_rules": quality.ORACLE}

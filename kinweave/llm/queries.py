@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, htmltext, licenses, ngram_join, quality, urlfilter, warc
+from . import bpe, decontam, htmltext, licenses, ngram_join, pii, quality, urlfilter, warc
 from .common import table
 
 #: The vocabulary that op1 and the pipeline encode by.
@@ -25,6 +25,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.templates(spark))
 
@@ -37,6 +41,10 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components(table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scrub(table(spark, sf_dir, "documents"))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"))
 
@@ -45,6 +53,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_words_left", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_warc, op4_license_scans, op5_html_extraction, op6_ngram_jaccard_join, op8_url_filters, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_warc, op3_benchmark_decontamination, op4_license_scans, op5_html_extraction, op6_ngram_jaccard_join, op7_pii, op8_url_filters, op10_quality_rules)}
 
 ORACLES = {"op2_warc": warc.ORACLE, "op4_license_scans": licenses.oracle(), "op6_ngram_jaccard_join": ngram_join.ORACLE, "op8_url_filters": urlfilter.oracle(), "op10_quality_rules": quality.ORACLE}

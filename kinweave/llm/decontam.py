@@ -6,8 +6,8 @@ is the share of the item that the passage holds and one threshold fits all
 items. Items stand in blocks; for each term and block the largest weight is
 kept. A passage is two neighbouring half passages. The sum of its terms' block
 maxima bounds the score of every item of the block: only blocks whose bound
-reaches the threshold are scored (block-max WAND, evaluated for all blocks of a
-document at once). All pairs above the threshold are then verified word by
+reaches the threshold are scored (block-max WAND, evaluated for all passages of
+a document at once), by halves first and then exactly. All pairs above the threshold are then verified word by
 word: five-word shingles that item and passage share mark the item's words, and
 enough of the question and of the answer must be marked.
 
@@ -97,15 +97,18 @@ class Index:
         pairs = np.unique(np.arange(len(ids)) // HALF * v + ids)
         half, term = pairs // v, pairs % v
         starts = np.flatnonzero(np.r_[True, half[1:] != half[:-1]])
-        bound = np.add.reduceat(self.most[term], starts)  # each half has at least one word
-        if len(bound) > 1:
-            bound = bound[:-1] + bound[1:]
+        over = lambda x: x[:-1] + x[1:] if len(x) > 1 else x  # of two halves; a term in both counts twice, so it's a bound
+        blocks = np.flatnonzero((over(np.add.reduceat(self.most[term], starts)) >= RETRIEVED - 1e-4).any(0))
+        if not len(blocks):
+            return []
         ends = [*starts[1:], len(term)]
         out = []
-        for w, b in zip(*np.nonzero(bound >= RETRIEVED - 1e-4), strict=True):
+        for w, b, k in zip(*np.nonzero(over(np.add.reduceat(self.weights[term[:, None], blocks], starts)) >= RETRIEVED - 1e-4), strict=True):
+            part = int(blocks[b]) * BLOCK + int(k)
             own = np.unique(term[starts[w] : ends[min(w + 1, len(starts) - 1)]])
-            scores = self.weights[own, b].sum(0)
-            out += [(int(w), int(b) * BLOCK + int(k), float(scores[k])) for k in np.flatnonzero(scores >= RETRIEVED - 1e-4) if b * BLOCK + k < len(self.parts)]
+            score = float(self.weights[own, blocks[b], k].sum())
+            if score >= RETRIEVED - 1e-4 and part < len(self.parts):
+                out.append((int(w), part, score))
         return out
 
     def find(self, text: str | None) -> dict[int, tuple[int, int, int]]:

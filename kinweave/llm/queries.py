@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, htmltext, licenses, ngram_join, pii, quality, urlfilter, warc
+from . import bpe, decontam, htmltext, licenses, ngram_join, pii, quality, suffix_dedup, urlfilter, warc
 from .common import table
 
 #: The vocabulary that op1 and the pipeline encode by.
@@ -49,10 +49,14 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_words_left", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_warc, op3_benchmark_decontamination, op4_license_scans, op5_html_extraction, op6_ngram_jaccard_join, op7_pii, op8_url_filters, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_warc, op3_benchmark_decontamination, op4_license_scans, op5_html_extraction, op6_ngram_jaccard_join, op7_pii, op8_url_filters, op9_suffix_array_dedup, op10_quality_rules)}
 
-ORACLES = {"op2_warc": warc.ORACLE, "op4_license_scans": licenses.oracle(), "op6_ngram_jaccard_join": ngram_join.ORACLE, "op8_url_filters": urlfilter.oracle(), "op10_quality_rules": quality.ORACLE}
+ORACLES = {"op2_warc": warc.ORACLE, "op4_license_scans": licenses.oracle(), "op6_ngram_jaccard_join": ngram_join.ORACLE, "op8_url_filters": urlfilter.oracle(), "op9_suffix_array_dedup": suffix_dedup.ORACLE, "op10_quality_rules": quality.ORACLE}

@@ -110,7 +110,7 @@ def _digests(batch, encoding, as_bytes, as_text):
 
 def _ids(batch, encoding, as_bytes, as_text):
     found = [encoding.encode_ordinary(t.as_py() or "") for t in batch.column("text")]
-    return pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array([0] * len(found), pa.int64()), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "piece", "ids"])
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("from"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "piece", "ids"])
 
 
 def _chunks(batches):
@@ -210,13 +210,8 @@ def digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id, piece (where the piece begins in the text), ids. A text's ids are those of its pieces in order; most texts are one piece."""
     short, long = _split(docs)
-    one = short.mapInArrow(_plain(vocabulary, _ids), "doc_id long, piece long, ids array<int>")
-
-    def run(batch, encoding, as_bytes, as_text):
-        found = _ids(batch, encoding, as_bytes, as_text)
-        return pa.RecordBatch.from_arrays([found.column(0), batch.column("from"), found.column(2)], ["doc_id", "piece", "ids"])
-
-    return one.unionByName(long_pieces(long, vocabulary).mapInArrow(_plain(vocabulary, run), "doc_id long, piece long, ids array<int>"))
+    pieces = short.select("doc_id", F.lit(0).cast("long").alias("from"), "text").unionByName(long_pieces(long, vocabulary).select("doc_id", "from", "text"))
+    return pieces.mapInArrow(_plain(vocabulary, _ids), "doc_id long, piece long, ids array<int>")
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -226,3 +221,13 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("piece"), pa.array([b"".join([as_bytes[i] for i in x]) for x in batch.column("ids").to_pylist()], pa.binary())], ["doc_id", "piece", "bytes"])
 
     return encoded.select("doc_id", "piece", "ids").mapInArrow(_plain(vocabulary, run), "doc_id long, piece long, bytes binary")
+
+
+def with_bytes(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """encode()'s rows with n_bytes, the length of what the ids decode to."""
+
+    def run(batch, encoding, as_bytes, as_text):
+        sizes = [sum(len(as_bytes[i]) for i in x) for x in batch.column("ids").to_pylist()]
+        return batch.append_column("n_bytes", pa.array(sizes, pa.int64()))
+
+    return encoded.select("doc_id", "piece", "ids").mapInArrow(_plain(vocabulary, run), "doc_id long, piece long, ids array<int>, n_bytes long")

@@ -62,6 +62,7 @@ LABELLED = """
 -1 0 0 200  0  0   0  0   0 0 | -1 0 0 75   0 60   0 12   0 0 | -1 0 0 45   0 200  0 60   0 0 | -1 0 0 10   0  9   0 35   0 0 | -1 0 0 100  5 30   0 20   0 0
  0 0 1  4   0  0   0 60   0 1 | 0 0 1  3   0  2 100 40   0 1 | 0 0 1  6   0  5   0 35   0 1 | 0 0 1  2   0 45   0 50   0 1 | 0 0 0  6   0 40   0 25   0 1
  0 0 1  8   0  1   0 70   0 1 | 0 0 1  5   0  9   0 28   0 1 | 0 0 0 11   0 30   0 50   0 1 | 0 0 0  3   0 70   0 30   0 1 | 0 0 0  7   0  4   0  3   0 0
+ 0 0 1  2   0  2 100 45   0 1 | 0 0 1  1   0  3 100 38   0 1 | 0 0 1  2   0  0   0 50   0 1 | 0 0 1  1   0 12   0 90   0 1 | 0 0 1  2   0  1 100 28   0 1
  0 1 0 40   0 60   0 50   0 0 | 0 1 0  3 100  2 100  3 100 0 | 0 1 0 15   0 60   0 30   0 0 | 0 1 0 80   0 20   0 40   0 0 | 0 1 1  3   0 60   0 30   0 0
 """
 FEATURES = ("place", "furniture", "heading", "words", "density", "words_before", "density_before", "words_after", "density_after")

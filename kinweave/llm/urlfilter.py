@@ -43,7 +43,9 @@ adult-cams.example.com/live adult-video.example.net/x/1 xxx-tube.example.org/wat
 spam-links.example.org/farm link-farm.example.com/seo spamhost.example.net/mail bulk-spam.example.com/list farm-links.example.org/en/1
 ads-server.example.com/track click-track.example.net/pixel adtrack.example.org/id ads-click.example.com/banner track-ads.example.net/c
 free-download-crack.example.com/keygen warez-free.example.net/crack phish-login.example.org/bank malware-drop.example.com/exe free-prize-win.example.net/claim
-win-money.example.org/now lottery-win.example.com/free cheap-loans.example.net/apply casino-free.example.org/es/8 cheap-watches.example.com/replica"""
+win-money.example.org/now lottery-win.example.com/free cheap-loans.example.net/apply casino-free.example.org/es/8 cheap-watches.example.com/replica
+www.spam-mail.example.org/en/512 blog.cheap-viagra.example.com/fr/77 m.casino-spins.example.net/de/4021 www.adult-zone.example.com/es/15.html blog.farm-seo.example.org/fr/903/
+m.free-poker.example.com/en/2210 www.ads-pixel.example.net/de/31 blog.win-bets.example.org/es/8 www.discount-pills.example.com/fr/640 m.xxx-cams.example.net/en/71/"""
 ORDINARY = """news.example.com/politics/2 blog.river.example.org/post/7 www.library.example.net/en/55 m.garden.example.com/fr/12 docs.example.org/manual/index.html
 university.example.net/courses wiki.example.com/history shop.baker.example.org/bread blog.thonth.example.net/es/12 m.inther.example.com/fr/8
 www.erthat.example.org/en/1002 oningth.example.net/en/33 thereas.example.com/fr/7 www.andthe.example.net/de/2 blog.heron.example.com/en/95
@@ -52,7 +54,8 @@ school.example.com/class/9 townhall.example.org/council recipes.example.net/soup
 hospital.example.net/ward theatre.example.org/stage blog.ntheas.example.com/en/8 www.atered.example.org/de/62 edition.example.net/en/448
 gardening.example.org/roses m.shipyard.example.com/fr/3 science.example.net/physics www.bridge.example.com/en/12 music.example.org/concert
 astonth.example.com/fr/90 thenand.example.net/en/5 blog.thinat.example.org/fr/77 www.readers.example.com/books m.station.example.net/de/54
-reatheon.example.org/en/31 wheretion.example.com/es/6 thatesh.example.net/en/17/ www.thened.example.org/en/4.html blog.tishon.example.com/fr/281"""
+reatheon.example.org/en/31 wheretion.example.com/es/6 thatesh.example.net/en/17/ www.thened.example.org/en/4.html blog.tishon.example.com/fr/281
+m.harbour.example.org/en/3327/ m.ththorn.example.org/es/368 ththern.example.com/en/904 m.cottage.example.net/fr/55 www.haththe.example.com/es/20 m.meadow.example.com/de/9"""
 
 
 def grams_of(text: str) -> list[str]:

@@ -1,0 +1,145 @@
+"""The operators' plain parts against brute force, without Spark."""
+
+import base64
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+from kinweave.llm import bpe, decontam, htmltext, ngram_join, pii, suffix_dedup, urlfilter, warc
+from kinweave.llm.queries import RANKS
+
+ODD = [chr(c) for c in (32, 32, 32, 10, 9, 13, 11, 12, 28, 133, 160, 0x2003, 65, 97, 0xE9, 0x4E00, 0x928, 0x93F, 0x661, 49, 39, 115, 116, 0x1F600, 33, 46, 0x200B)]
+
+
+@pytest.fixture(scope="module")
+def encoding():
+    with open(public_tokenizers.path(RANKS), "rb") as f:
+        return bpe._codec(f.read(), public_tokenizers.PATTERN)[0]
+
+
+def test_bpe_stitches_anywhere(encoding):
+    rng, size, over = random.Random(3), 20, 9
+    for _ in range(1500):
+        s = "".join(rng.choices(ODD, k=rng.randint(1, 120))) if rng.random() < 0.7 else "a" * rng.randint(1, 90) + " b"
+        chunks = []
+        for start in range(0, len(s), size):
+            t = s[start : start + size + over]
+            chunks.append((start, start + len(t), [start + b for b in bpe.safe_boundaries(t, public_tokenizers.PATTERN) if b < over or b >= size]))
+        pieces = bpe.stitches(chunks, over)
+        assert pieces[0][0] == 0 and pieces[-1][1] == len(s) and all(a[1] == b[0] for a, b in zip(pieces, pieces[1:], strict=False))
+        assert [i for a, b in pieces for i in encoding.encode_ordinary(s[a:b])] == encoding.encode_ordinary(s)
+
+
+PAGE = "<html><head><title>t</title><style>x</style></head><body><header><h1>Site</h1></header><nav><a href=/>Home</a></nav>{}<footer>&copy; all</footer></body>"
+
+
+def test_html_with_article():
+    page = PAGE.format('<div class="ad">Buy now</div><article><h1>A &amp; B</h1><p>One\n  two<br>three.<p>Ti.</p><aside>see also</aside><script>no("</p>")</script><ul><li>x<li>y</ul><form>mail <input></form></article><section id="comments"><p>nice one</p></section>')
+    assert htmltext.main_text(page) == "A & B\n\nOne two three.\n\nTi.\n\nx\n\ny"
+
+
+def test_html_without_article():
+    long, other = "word " * 40, "text " * 50
+    page = PAGE.format(f'<div id="menu"><a>A</a> <a>B</a></div><div><h2>The title</h2><p>{long}</p><p>short one.</p><p>{other}</p></div><div class="comments"><p>{"nice " * 30}</p></div><div class="cookie-notice">We use cookies</div>')
+    assert htmltext.main_text(page) == "\n\n".join(["The title", long.strip(), "short one.", other.strip()])
+
+
+def test_html_edges():
+    assert htmltext.main_text(None) == htmltext.main_text("") == htmltext.main_text("<p") == ""
+    assert htmltext.main_text("<article><p>cut &am") == "cut &am"
+    assert htmltext.main_text("<article><p title=\"a>b\">x<p 'broken>y</article>") == "x\n\ny"
+    assert htmltext.main_text("<article>" + "<div " * 3000) == ""
+
+
+def test_html_tree_fits_its_table():
+    assert all(htmltext.classify(x) == y for x, y in htmltext.labelled())
+
+
+def test_url_model_on_held_out_hosts():
+    weights, intercept = urlfilter.model()
+    score = lambda url: intercept + sum(weights[urlfilter.bucket_of(g)] for g in urlfilter.features_of(*(lambda p: (p[0], "/" + p[2]))(url.partition("/"))))
+    bad = ["free-bets.example.net/es/3", "adult-x.example.com/de/3", "blog.cheap-pills.example.net/en/5", "www.spam-farm.example.org/en/1", "m.ads-track.example.com/fr/8", "blog.casino-win.example.net/en/2"]
+    good = ["tionsh.example.net/en/11852", "blog.ththti.example.com/fr/17553/", "m.ththen.example.org/es/16821/", "www.thered.example.org/en/978/", "ththhe.example.com/en/29913", "thernd.example.com/de/1996.html"]
+    assert all(score(u) > 0 for u in bad) and all(score(u) <= 0 for u in good)
+
+
+def test_ngram_keys_lose_no_link():
+    rng, limits = np.random.default_rng(1), ngram_join._limits(90)
+    for _ in range(1500):
+        a = np.unique(rng.integers(0, 1 << 63, int(rng.integers(5, 300)), dtype=np.uint64))
+        r = int(rng.integers(0, len(a) // 9 + 1))
+        b = np.unique(np.r_[rng.permutation(a)[: len(a) - r], rng.integers(0, 1 << 63, int(rng.integers(0, len(a) // 9 - r + 1)), dtype=np.uint64)])
+        if not np.array_equal(a, b) and ngram_join.similar(a, b, 90):
+            assert len(np.intersect1d(ngram_join.keys(a, 90, limits), ngram_join.keys(b, 90, limits)))
+
+
+def test_rtree_bound_finds_all():
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    sets = [np.unique(np.r_[rng.permutation(base)[: int(rng.integers(200, 300))], rng.integers(0, 1 << 63, int(rng.integers(0, 60)), dtype=np.uint64)]) for _ in range(400)]
+    tree = ngram_join.RTree(np.array([ngram_join.counts(s) for s in sets]))
+    for s in sets[::20]:
+        found = set(tree.search(ngram_join.counts(s), 80).tolist())
+        assert {i for i, t in enumerate(sets) if ngram_join.similar(s, t, 80)} <= found
+
+
+def test_decontamination_is_brute_force():
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(400)]
+    say = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    items = [(i, *decontam.question_answer(f"{say(rng.randint(8, 150))}. {say(rng.randint(1, 12))}.")) for i in range(30)]
+    items.append((99, ["one", "two"], []))
+    df = {w: 3 for w in vocabulary}
+    index = decontam.Index(items, df, len(items), 40)
+    for k in range(60):
+        i, q, a = items[k % 30]
+        words = say(200).split() + q + a + say(150).split()
+        for _ in range(k % 4):  # a few edits
+            words[200 + rng.randrange(len(q))] = "edited"
+        text = " ".join(words)
+        want = set()
+        for j, x, y in items:
+            m = decontam.marked(x + y, words)
+            if 100 * m[: len(x)].sum() // max(1, len(x)) >= decontam.QUESTION_PERCENT and (not y or 100 * m[len(x) :].sum() // len(y) >= decontam.ANSWER_PERCENT):
+                want.add(j)
+        assert set(index.find(text)) == want
+    assert index.find(None) == index.find("") == {}
+
+
+def test_pii_kinds_and_coreference():
+    s = pii.Surrogates(b"k")
+    text = "Mr. John Smith met Mrs. Maria Schmidt; Smith wrote a.b@mail.co, A.B@mail.co, DE89 3704 0044 0532 0130 00, 4111 1111 1111 1111, 4111111111111111, г-н Иван Петров, 192.168.1.7, 078-05-1120, +49 30 1234567, " + "0a" * 20
+    out, kinds = s.replace(text)
+    assert sorted(set(kinds)) == ["card", "email", "iban", "ip", "name", "phone", "secret", "ssn"]
+    for old in ("John", "Smith", "Maria", "a.b@mail", "3704", "4111 1111", "Иван", "1.7,", "078-05", "1234567", "0a0a"):
+        assert old not in out
+    words = out.replace(";", "").replace(",", "").split()
+    assert words[2] == words[7] and words[9].lower() == words[10].lower() and "192.168." in out and "+49 " in out
+    assert pii._valid_iban(out.split(", ")[2]) and pii._luhn([int(c) for c in out.split(", ")[3].replace(" ", "")][:-1]) == int(out.split(", ")[3][-1])
+    assert s.replace("nothing here") == ("nothing here", []) and pii.Surrogates(b"other").replace(text)[0] != out
+
+
+def test_pii_is_a_permutation_without_fixed_points():
+    s = pii.Surrogates(b"k")
+    for m in (2, 10, 26, 1000):
+        image = [s.shift(x, m, b"t") for x in range(m)]
+        assert sorted(image) == list(range(m)) and all(x != y for x, y in enumerate(image))
+
+
+def test_segments_hold_each_window_once():
+    rng, anchors = random.Random(5), suffix_dedup.Anchors()
+    for n in (0, 99, 100, 101, 500, 5000):
+        data = bytes(rng.choices(b"ab ", k=n))
+        keys, places = anchors.of(data)
+        starts = [s + i for p in places.tolist() for s in [p >> 8] for i in range((p & 255) - 99)]
+        assert starts == list(range(max(0, n - 99))) and all(100 <= p & 255 <= 168 for p in places.tolist())
+    a, b = anchors.of(data), anchors.of(b"xyz" * 50 + data)
+    of = lambda x, skip: {(d - skip, k) for k, p in zip(*map(list, x), strict=True) for s in [p >> 8] for d in range(s, s + (p & 255) - 99)}
+    assert of(a, 0) <= of(b, 150)
+
+
+def test_warc_digest():
+    assert warc.digest_of(b"x") == base64.b32encode(hashlib.sha1(b"x").digest()).decode()

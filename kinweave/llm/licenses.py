@@ -86,12 +86,14 @@ def scan(docs: DataFrame, found: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     t = materialize(prepare(found), "licenses")
     kinds = [tuple(r) for r in t.select("size", "class").distinct().sort("size", "class").collect()]  # a pair for each length class at most
+    if not kinds:
+        return spark.createDataFrame([], "doc_id long, license_id string, shared long, n_template long, first_word long")
     parts = []
     sizes = sorted({s for s, _ in kinds})
     vocabularies = t.agg(*[F.array_distinct(F.flatten(F.collect_list(F.when(F.col("size") == s, F.col("h"))))).alias(f"v{s}") for s in sizes])  # one row, of the templates' size
     held = docs.select("doc_id", tokens(F.col("text")).alias("w")).select("doc_id", *[shingles(F.col("w"), s).alias(f"s{s}") for s in sizes]).join(F.broadcast(vocabularies))
     some = [F.arrays_overlap(f"s{s}", f"v{s}") for s in sizes]
-    held = materialize(held.where(reduce(or_, some)), "licensed") if sizes else None  # those that share a shingle with some template
+    held = materialize(held.where(reduce(or_, some)), "licensed")  # those that share a shingle with some template
     for size in sizes:
         own = t.where(F.col("size") == size)
         rows = held.select("doc_id", F.col(f"s{size}").alias("s"), F.col(f"v{size}").alias("v")).where(F.arrays_overlap("s", "v"))
@@ -103,8 +105,6 @@ def scan(docs: DataFrame, found: DataFrame) -> DataFrame:
             bands = own.where(F.col("class") == k).select("license_id", "h", F.posexplode(minhashes(F.col("h"))).alias("band", "m"))
             pairs = windows.join(bands, ["band", "m"]).select("doc_id", "license_id", "first_word", F.size(F.array_intersect("x", "h")).alias("shared"), F.size("h").alias("n_template"))
             parts.append(pairs.where(100 * F.col("shared") >= CONTAINED_PERCENT * F.col("n_template")))
-    if not parts:
-        return spark.createDataFrame([], "doc_id long, license_id string, shared long, n_template long, first_word long")
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)

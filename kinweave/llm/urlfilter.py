@@ -7,7 +7,7 @@ from the small labelled table below. Scoring is DataFrame code with integer
 (fixed-point) weights, so that sums don't depend on their order.
 
 Defined edge cases: a null URL, or one without `://`, has an empty host and
-path, fits no rule and has no n-grams, so the intercept decides (allow);
+path, fits no rule and has no n-grams: its score is 0 (allow);
 repeated rows each get a row; other columns are ignored.
 """
 
@@ -120,7 +120,8 @@ def score(host: Column, path: Column) -> Column:
     grams = lambda s, n: F.transform(F.when(F.length(s) >= n, F.sequence(F.lit(1), F.length(s) - n + 1)).otherwise(F.array().cast("array<int>")), lambda i: F.substring(s, i, F.lit(n)))
     marked = [F.when(host == "", "").otherwise(F.concat(F.lit("^"), host, F.lit("$"))), F.when(path == "", "").otherwise(F.concat(F.lit("@"), path))]
     every = F.concat(*[grams(s, n) for s in marked for n in GRAMS])
-    return F.aggregate(every, F.lit(intercept).cast("long"), lambda a, g: a + F.get(table, F.conv(F.substring(F.md5(g), 1, 3), 16, 10).cast("int")))
+    known = F.aggregate(every, F.lit(intercept).cast("long"), lambda a, g: a + F.get(table, F.conv(F.substring(F.md5(g), 1, 3), 16, 10).cast("int")))
+    return F.when((host == "") & (path == ""), F.lit(0).cast("long")).otherwise(known)
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -144,6 +145,6 @@ WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([
 m AS (SELECT *, {rule} AS rule, CASE WHEN host = '' THEN '' ELSE '^' || host || '$' END AS a, CASE WHEN path = '' THEN '' ELSE '@' || path END AS b FROM u),
 g AS (SELECT *, flatten([{gram('a')}, {gram('b')}]) AS grams FROM m),
 t AS (SELECT {list(weights)} AS weights),
-s AS (SELECT page_id, host, path, rule, {intercept} + coalesce(list_sum(list_transform(grams, lambda x: weights[CAST('0x' || substr(md5(x), 1, 3) AS INTEGER) + 1])), 0) AS score FROM g, t)
+s AS (SELECT page_id, host, path, rule, CASE WHEN host = '' AND path = '' THEN 0 ELSE {intercept} + coalesce(list_sum(list_transform(grams, lambda x: weights[CAST('0x' || substr(md5(x), 1, 3) AS INTEGER) + 1])), 0) END AS score FROM g, t)
 SELECT page_id, host, path, rule, CAST(score AS BIGINT) AS score, CASE WHEN rule IS NOT NULL THEN CASE rule {verdict} END WHEN score > 0 THEN 'block' ELSE 'allow' END AS verdict FROM s
 """

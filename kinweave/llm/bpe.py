@@ -25,6 +25,7 @@ import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -86,11 +87,16 @@ def stitches(chunks: list[tuple[int, int, list[int]]], overlap: int) -> list[tup
     return [*out, (begin, chunks[-1][1])]
 
 
+#: Rows worked on at once: a batch has up to 10,000 texts, whose ids as Python numbers would take hundreds of MB.
+ROWS = 200
+
+
 def _plain(vocabulary: Vocabulary, then):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, as_bytes, as_text = vocabulary.codec()
         for batch in batches:
-            yield then(batch, encoding, as_bytes, as_text)
+            for at in range(0, batch.num_rows, ROWS):
+                yield then(batch.slice(at, ROWS), encoding, as_bytes, as_text)
 
     return run
 
@@ -109,8 +115,10 @@ def _digests(batch, encoding, as_bytes, as_text):
 
 
 def _ids(batch, encoding, as_bytes, as_text):
-    found = [encoding.encode_ordinary(t.as_py() or "") for t in batch.column("text")]
-    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("from"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "piece", "ids"])
+    found = [np.array(encoding.encode_ordinary(t.as_py() or ""), np.int32) for t in batch.column("text")]
+    ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32)), pa.array(np.concatenate([np.empty(0, np.int32), *found])))
+    sizes = [sum(len(as_bytes[i]) for i in x.tolist()) for x in found]
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("from"), ids, pa.array([len(x) for x in found], pa.int64()), pa.array(sizes, pa.int64())], ["doc_id", "piece", "ids", "n_tokens", "n_bytes"])
 
 
 def _chunks(batches):
@@ -208,10 +216,10 @@ def digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """doc_id, piece (where the piece begins in the text), ids. A text's ids are those of its pieces in order; most texts are one piece."""
+    """doc_id, piece (where the piece begins in the text), ids, n_tokens, n_bytes (of what they decode to). A text's ids are those of its pieces in order; most texts are one piece."""
     short, long = _split(docs)
     pieces = short.select("doc_id", F.lit(0).cast("long").alias("from"), "text").unionByName(long_pieces(long, vocabulary).select("doc_id", "from", "text"))
-    return pieces.mapInArrow(_plain(vocabulary, _ids), "doc_id long, piece long, ids array<int>")
+    return pieces.mapInArrow(_plain(vocabulary, _ids), "doc_id long, piece long, ids array<int>, n_tokens long, n_bytes long")
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -221,13 +229,3 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("piece"), pa.array([b"".join([as_bytes[i] for i in x]) for x in batch.column("ids").to_pylist()], pa.binary())], ["doc_id", "piece", "bytes"])
 
     return encoded.select("doc_id", "piece", "ids").mapInArrow(_plain(vocabulary, run), "doc_id long, piece long, bytes binary")
-
-
-def with_bytes(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """encode()'s rows with n_bytes, the length of what the ids decode to."""
-
-    def run(batch, encoding, as_bytes, as_text):
-        sizes = [sum(len(as_bytes[i]) for i in x) for x in batch.column("ids").to_pylist()]
-        return batch.append_column("n_bytes", pa.array(sizes, pa.int64()))
-
-    return encoded.select("doc_id", "piece", "ids").mapInArrow(_plain(vocabulary, run), "doc_id long, piece long, ids array<int>, n_bytes long")

@@ -59,7 +59,7 @@ class _Hashes(dict):
     """64-bit hashes of words, remembered."""
 
     def __missing__(self, word):
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h

@@ -8,7 +8,6 @@ columns of `documents`.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kinweave.llm import bpe, decontam, ngram_join, pii, quality
 from kinweave.llm.common import materialize, table
@@ -37,8 +36,7 @@ def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, piece, ids, n_tokens, and n_bytes, the bytes that the ids decode to."""
-    words = vocabulary(spark)
-    return bpe.encode(docs, words).transform(lambda e: bpe.with_bytes(e, words)).withColumn("n_tokens", F.size("ids").cast("long"))
+    return bpe.encode(docs, vocabulary(spark))
 
 
 STAGES = [("quality_rules", quality_rules), ("ngram_jaccard_join", near_duplicates), ("benchmark_decontamination", decontamination), ("pii", pii_surrogates), ("byte_bpe", byte_bpe)]

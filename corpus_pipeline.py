@@ -20,8 +20,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id stays."""
-    return ngram_join.one_of_each(docs)
+    """Of each group of linked documents (similarity of five-word shingles 0.8 or more) the one with the smallest doc_id stays."""
+    return ngram_join.one_of_each(docs, percent=80, size=5)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,9 +12,10 @@ also say which documents must be compared at all:
    D + 1 groups, some group has the same shingles in both. A document's keys are
    the hashes of its groups; linked documents share a key. Sizes are divided into
    classes; a document also has the keys of the class below if a partner may be
-   there. Equal groups that are empty tell nothing: a document with an empty
-   group gets the keys of another hash function as well (of the last one, the
-   empty groups too), so that no link is lost.
+   there. Equal groups that are empty tell nothing, so there are some groups
+   more than D + 1: a document with D + 1 groups that aren't empty shares one of
+   them with each partner. One with fewer gets the keys of another hash function
+   as well (of the last one, the empty groups too), so that no link is lost.
 3. The documents of a key form a cell, with its smallest document as the pivot.
    Each (document, pivot) is verified once, whatever the number of its keys.
 4. A document that isn't linked to a pivot may be linked to others of its cells.
@@ -35,7 +36,9 @@ the same component; a null doc_id takes part like any number below all others
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -97,6 +100,16 @@ def _differing(smaller: int, percent: int) -> int:
     return smaller * (100 - percent) // percent
 
 
+@lru_cache(maxsize=1000)
+def _groups(smallest: int, differing: int) -> int:
+    """Groups among which a set of this size or more nearly always fills differing + 1; at most twice as many."""
+    for g in range(differing + 1, 2 * differing + 2, max(1, differing // 50)):
+        empty = g * math.exp(-smallest / g)
+        if g - empty - 3 * math.sqrt(empty) >= differing + 1:
+            return g
+    return differing + 1
+
+
 def keys(s: np.ndarray, percent: int, limits: list[int]) -> np.ndarray:
     """The keys of one set."""
     n = len(s)
@@ -106,9 +119,10 @@ def keys(s: np.ndarray, percent: int, limits: list[int]) -> np.ndarray:
         # of the class below, the largest set that may be a partner
         if level < 0 or level < own and 100 * (limits[own] - 1) < percent * n:
             continue
-        groups = _differing(limits[level + 1] - 1, percent) + 1
-        if groups == 1:  # such sets must be equal, and those are one class already
+        differing = _differing(limits[level + 1] - 1, percent)
+        if differing == 0:  # such sets must be equal, and those are one class already
             continue
+        groups = _groups(limits[level], differing)
         for r in range(ROUNDS):
             seed = np.uint64(level * ROUNDS + r + 1)
             x = _mix(s + np.uint64(int(seed) * int(_ODD) % (1 << 64)))
@@ -118,7 +132,7 @@ def keys(s: np.ndarray, percent: int, limits: list[int]) -> np.ndarray:
             starts = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
             sums = np.add.reduceat(_mix(x ^ _ODD), starts)
             out.append(_mix(sums + _mix(g[starts] + (seed << np.uint64(32)))))
-            if len(starts) == groups:
+            if len(starts) > differing:
                 break
             if r == ROUNDS - 1:
                 out.append(_mix(np.setdiff1d(np.arange(groups, dtype=np.uint64), g[starts]) + (seed << np.uint64(32))))

@@ -30,8 +30,10 @@ minima, which combine before the shuffle, and blocks have a fixed size.
 Sets are of 64-bit hashes. Defined edge cases: null and blank texts have empty
 sets and link with nothing, not even each other; a text of fewer words than a
 shingle is one shingle; repeated rows of a doc_id and text each get a row with
-the same component; a null doc_id takes part like any number below all others
-(its component is null only if all its members' are); other columns are ignored.
+the same component; different texts under one doc_id are different documents,
+whose components may have the same number; a null doc_id takes part like any
+number (its component is null only if all its members' are, and of a group it
+stays only then); other columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, materialize
@@ -139,36 +141,45 @@ def keys(s: np.ndarray, percent: int, limits: list[int]) -> np.ndarray:
     return np.unique(np.concatenate(out)) if out else np.empty(0, np.uint64)
 
 
+def _digest(s: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set in two signed numbers."""
+    digest = xxhash.xxh3_128_intdigest(s.tobytes())
+    return (digest >> 64) - (1 << 63), (digest & (1 << 64) - 1) - (1 << 63)
+
+
 def _sets(size: int):
+    """a, b (the class), s for each text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in batches:
-            found = [shingle_set(t.as_py(), hashes, size).view(np.int64) for t in batch.column(1)]
+            found = [shingle_set(t.as_py(), hashes, size) for t in batch.column(0)]
+            classes = [_digest(s) for s in found]
             offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
-            flat = np.concatenate(found) if found else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "s"])
+            flat = np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in classes], pa.int64()), pa.array([b for _, b in classes], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["a", "b", "s"])
 
     return run
 
 
 def _classes(size: int, percent: int):
-    """doc_id, n_shingles, class (a 128-bit digest of the set in two numbers), keys."""
+    """doc_id, key, n_shingles, class (a 128-bit digest of the set in two numbers), keys."""
     limits = _limits(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in batches:
             ns, a, b, found = [], [], [], []
-            for t in batch.column(1):
+            for t in batch.column(2):
                 s = shingle_set(t.as_py(), hashes, size)
-                digest = xxhash.xxh3_128_intdigest(s.tobytes())
+                digest = _digest(s)
                 ns.append(len(s))
-                a.append((digest >> 64) - (1 << 63))
-                b.append((digest & (1 << 64) - 1) - (1 << 63))
+                a.append(digest[0])
+                b.append(digest[1])
                 found.append(keys(s, percent, limits).view(np.int64) if len(s) else np.empty(0, np.int64))
             offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
             flat = np.concatenate(found) if found else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ns, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "n", "a", "b", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ns, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "key", "n", "a", "b", "keys"])
 
     return run
 
@@ -239,18 +250,25 @@ def _search(percent: int):
     return run
 
 
-def links(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
-    """(members, links): doc_id, n_shingles, rep (smallest doc_id of an equal set, null for empty sets) for each row of docs; and x, y, links between reps that connect all that are linked."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    found = materialize(d.mapInArrow(_classes(size, percent), "doc_id long, n long, a long, b long, keys array<long>"), "ngram-documents")
-    sets = materialize(found.where("n > 0").groupBy("a", "b").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys")), "ngram-classes")
-    cells = sets.where("rep is not null").select("rep", F.explode("keys").alias("key"))
+def links(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members, classes, links): doc_id, key (of the text), n_shingles, a, b for each row of docs; a, b, rep (a number for each set that isn't empty) and first (its smallest doc_id); and x, y, links between reps that connect all that are linked."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("key"), F.col("text"))
+    found = materialize(d.mapInArrow(_classes(size, percent), "doc_id long, key string, n long, a long, b long, keys array<long>"), "ngram-documents")
+    members = materialize(found.select("doc_id", "key", F.col("n").alias("n_shingles"), "a", "b"), "ngram-members")
+    # the number is a surrogate: one doc_id may have several texts, and null is no key
+    sets = materialize(found.where("n > 0").groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.first("keys").alias("keys")).withColumn("rep", F.monotonically_increasing_id()), "ngram-classes")
+    discard(found)
+    classes = materialize(sets.select("a", "b", "rep", "first"), "ngram-reps")
+    cells = sets.select("rep", F.explode("keys").alias("key"))
     pivots = cells.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("m")).where("m > 1").drop("m")
     pairs = materialize(cells.join(pivots, "key").where("rep <> pivot").select("rep", "pivot").distinct(), "ngram-pairs")
-    wanted = pairs.select(F.col("rep").alias("doc_id")).union(pairs.select(F.col("pivot").alias("doc_id"))).distinct()
-    wanted = materialize(wanted, "ngram-wanted")
-    # the sets of documents that share a cell with another, once more from their texts
-    held = materialize(d.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(size), "doc_id long, s array<long>").dropDuplicates(["doc_id"]), "ngram-sets")
+    discard(sets)
+    wanted = pairs.select("rep").union(pairs.select(F.col("pivot").alias("rep"))).distinct()
+    wanted = materialize(classes.join(wanted, "rep"), "ngram-wanted")
+    # the sets of documents that share a cell with another, once more from their texts; of a doc_id there may be other texts too
+    asked = d.where("doc_id is null").unionByName(d.join(wanted.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi"))
+    read = asked.select("text").mapInArrow(_sets(size), "a long, b long, s array<long>").dropDuplicates(["a", "b"])
+    held = materialize(read.join(wanted, ["a", "b"]).select(F.col("rep").alias("doc_id"), "s"), "ngram-sets")
     both = F.size(F.array_intersect("s", "t"))
     judged = pairs.join(held.withColumnRenamed("doc_id", "rep"), "rep").join(held.select(F.col("doc_id").alias("pivot"), F.col("s").alias("t")), "pivot")
     judged = materialize(judged.select("rep", "pivot", (100 * both >= percent * (F.size("s") + F.size("t") - both)).alias("linked")), "ngram-judged")
@@ -265,8 +283,7 @@ def links(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> tuple
     searched = own.union(asking).join(held.withColumnRenamed("doc_id", "rep"), "rep").select("pivot", "block", "ask", F.col("rep").alias("doc_id"), "asks", "s")
     further = searched.groupBy("pivot", "block", "ask").applyInArrow(_search(percent), "x long, y long")
     out = materialize(star.union(further).distinct(), "ngram-links")
-    members = found.select("doc_id", F.col("n").alias("n_shingles"), "a", "b").join(sets.select("a", "b", "rep"), ["a", "b"], "left").select("doc_id", "n_shingles", "rep")
-    return members, out
+    return members, classes, out
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -285,18 +302,35 @@ def connected(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def text_key(text: Column) -> Column:
+    return F.coalesce(F.md5(text), F.lit(""))
+
+
+def _grouped(docs: DataFrame, percent: int, size: int) -> DataFrame:
+    """doc_id, key, n_shingles, group (a number for each component, null for empty sets) and first, the smallest doc_id in it, for each row of docs."""
+    members, classes, found = links(docs, percent, size)
+    labels = connected(found).join(classes.select(F.col("rep").alias("node"), "first"), "node")
+    firsts = labels.groupBy("label").agg(F.min("first").alias("least"))
+    labels = labels.select("node", "label").join(firsts, "label")
+    classes = classes.join(labels, classes.rep == labels.node, "left")
+    # all classes of one component have the same least, which may be null
+    classes = classes.select("a", "b", F.coalesce("label", "rep").alias("group"), F.when(F.col("label").isNull(), F.col("first")).otherwise(F.col("least")).alias("first"))
+    return members.join(classes, ["a", "b"], "left").select("doc_id", "key", "n_shingles", "group", "first")
+
+
 def components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of docs."""
-    members, found = links(docs, percent, size)
-    labels = connected(found)
-    out = members.join(labels, members.rep == labels.node, "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("label", "rep", "doc_id").alias("component_id"))
+    return _grouped(docs, percent, size).select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of its component: one document of each group, all columns. Of repeated rows all are equal; one stays."""
-    first = components(docs, percent, size).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(first, docs.doc_id.eqNullSafe(first.doc_id), "left_semi").dropDuplicates(["doc_id"])
+    """One document of each component, all columns: the one with the smallest doc_id, null only if all are, and of several texts under it the smallest hash. Of repeated rows all are equal; one stays."""
+    of = materialize(_grouped(docs, percent, size), "ngram-groups")
+    least = of.where("group is not null").groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("x")).select("x.doc_id", "x.key")
+    stay = least.union(of.where("group is null").select("doc_id", "key").distinct()).toDF("_id", "_text")
+    keyed = docs.withColumn("_key", text_key(F.col("text")))
+    out = keyed.join(stay, keyed.doc_id.cast("long").eqNullSafe(stay._id) & (keyed._key == stay._text), "left_semi")
+    return out.dropDuplicates(["doc_id", "_key"]).drop("_key")
 
 
 ORACLE = f"""

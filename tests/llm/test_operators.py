@@ -134,6 +134,20 @@ def test_ngram_join(spark, monkeypatch):
     assert ngram_join.components(d.limit(0)).collect() == []
 
 
+def test_ngram_join_of_null_and_repeated_ids(spark):
+    rng = random.Random(11)
+    a, b, c, e, f = (prose(rng, 100) for _ in range(5))
+    near = lambda t: f"{t} end"
+    table = [(None, a), (None, near(a)), (None, b), (7, b), (None, c), (5, e), (5, f), (6, near(f)), (8, near(e)), (None, None), (None, "")]
+    d = docs(spark, *table)
+    got = rows(ngram_join.components(d), "doc_id", "component_id")
+    assert got == sorted([(None, None)] * 5 + [(None, 7), (7, 7), (5, 5), (5, 5), (6, 5), (8, 5)], key=repr)
+    one = ngram_join.one_of_each(d)
+    kept = rows(one, "doc_id", "text")
+    least = min(a, near(a), key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    assert one.columns == d.columns and kept == sorted([(None, least), (7, b), (None, c), (5, e), (5, f), (None, None), (None, "")], key=repr)
+
+
 def test_connected_is_linear_in_a_chain(spark):
     e = spark.createDataFrame([(i, i + 1) for i in range(100, 140)] + [(7, 3)], "x long, y long")
     assert {r.node: r.label for r in ngram_join.connected(e).collect()} == {**dict.fromkeys(range(100, 141), 100), 7: 3, 3: 3}

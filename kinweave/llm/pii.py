@@ -49,13 +49,15 @@ KINDS = {
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)|(?<![\w:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![\w:])",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
+    "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])"
+    # national forms: 1-800-555-0199; 555 123 4567; 020 7946 0958 and 0171 2345678; 01 23 45 67 89
+    r"|(?<![\w.,+-])(?<!\d )(?:1[ .-](?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|\d{3} \d{3}[ -]\d{4}|0\d{1,4} \d{3,4} \d{3,4}|0\d{2,4}[ /]\d{5,8}|0\d(?:[ .]\d{2}){4})(?![\w-])(?! \d)",
     "card": r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])",
     "name": rf"(?<![\w-])(?:{'|'.join(map(re.escape, TITLES))})\.? (?P<person>[^\W\d_a-zà-ÿа-яα-ω][^\W\d_]+(?:['-][^\W\d_]+)*(?: [^\W\d_a-zà-ÿа-яα-ω][^\W\d_]+(?:['-][^\W\d_]+)*)?)",
 }
 FIND = re.compile("|".join(f"(?P<{k}>{v})" for k, v in KINDS.items()))
-#: A text without these holds none of the kinds but names.
-HINT = re.compile(r"[@\d]")
+#: A text without these holds none of the kinds but names. Of secrets and IPv6 addresses, some have no digit.
+HINT = re.compile(r"[@\d]|AKIA|(?:gh[po]|[sp]k|xox[abp])[_-]|[a-fA-F]{32}|(?:[a-fA-F]{1,4}:){7}")
 TITLE = re.compile(rf"(?<![\w-])(?:{'|'.join(map(re.escape, TITLES))})\.? ")
 
 
@@ -159,7 +161,8 @@ class Surrogates:
 
     def _phone(self, text: str) -> str:
         code = re.match(r"\+(\d{1,3})(?!\d)", text)
-        return self.digits(text, "phone", len(code[1]) if code else min(1, text.count("+")))
+        trunk = re.match(r"1[ .-]|0\d*[ /]", text)
+        return self.digits(text, "phone", len(code[1]) if code else 1 if trunk else min(1, text.count("+")))
 
     def _card(self, text: str) -> str:
         old = [int(c) for c in text if c.isdigit()]
@@ -177,18 +180,26 @@ class Surrogates:
         kinds: list[str] = []
         people: set[str] = set()
 
-        def put(m: re.Match) -> str:
+        out, done, at = [], 0, 0
+        while m := FIND.search(text, at):
             kind = m.lastgroup if m.lastgroup != "person" else "name"
-            if kind == "iban" and not _valid_iban(m[0]):
-                return m[0]
+            found = m[0]
+            if kind == "iban":
+                # capital or numeric tokens behind the number may be no part of it: shorter at a border of tokens
+                found = next((found[:k] for k in (len(found), *(k for k in range(len(found) - 1, 0, -1) if found[k] == " ")) if _valid_iban(found[:k])), None)
+                if found is None:
+                    at = m.start() + 4  # other kinds may start behind the first token
+                    continue
             kinds.append(kind)
             if kind == "name":
                 words = m["person"].split(" ")
-                people.update(w for w in words if len(w) > 3)
-                return m[0][: -len(m["person"])] + " ".join(self.one("word", w) for w in words)
-            return self.one(kind, m[0])
-
-        out = FIND.sub(put, text)
+                people.update(words)
+                new = found[: -len(m["person"])] + " ".join(self.one("word", w) for w in words)
+            else:
+                new = self.one(kind, found)
+            out += [text[done : m.start()], new]
+            done = at = m.start() + len(found)
+        out = "".join([*out, text[done:]])
         if people:  # the same person without the title
             # a surrogate already put in must not be replaced again: those spans are protected by their title
             bare = re.compile(rf"(?P<titled>{KINDS['name'].replace('(?P<person>', '(?:')})|(?<![\w@.-])(?:{'|'.join(map(re.escape, sorted(people)))})(?![\w@-])")

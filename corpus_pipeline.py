@@ -35,7 +35,7 @@ def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, piece, ids, n_tokens, and n_bytes, the bytes that the ids decode to."""
+    """doc_id, piece, ids, n_tokens, and n_bytes, the bytes that the ids decode to; ids that decode to anything but the text raise."""
     return bpe.encode(docs, vocabulary(spark))
 
 

@@ -115,9 +115,15 @@ def _digests(batch, encoding, as_bytes, as_text):
 
 
 def _ids(batch, encoding, as_bytes, as_text):
+    """Raises where the ids don't decode to the bytes of the text."""
     found = [np.array(encoding.encode_ordinary(t.as_py() or ""), np.int32) for t in batch.column("text")]
     ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32)), pa.array(np.concatenate([np.empty(0, np.int32), *found])))
-    sizes = [sum(len(as_bytes[i]) for i in x.tolist()) for x in found]
+    sizes = []
+    for t, x in zip(batch.column("text"), found, strict=True):
+        decoded = b"".join([as_bytes[i] for i in x.tolist()])
+        if decoded != (t.as_py() or "").encode():
+            raise ValueError("the ids of a text decode to other bytes")
+        sizes.append(len(decoded))
     return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("from"), ids, pa.array([len(x) for x in found], pa.int64()), pa.array(sizes, pa.int64())], ["doc_id", "piece", "ids", "n_tokens", "n_bytes"])
 
 
@@ -216,7 +222,7 @@ def digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """doc_id, piece (where the piece begins in the text), ids, n_tokens, n_bytes (of what they decode to). A text's ids are those of its pieces in order; most texts are one piece."""
+    """doc_id, piece (where the piece begins in the text), ids, n_tokens, n_bytes (of what they decode to, which is compared with the text). A text's ids are those of its pieces in order; most texts are one piece."""
     short, long = _split(docs)
     pieces = short.select("doc_id", F.lit(0).cast("long").alias("from"), "text").unionByName(long_pieces(long, vocabulary).select("doc_id", "from", "text"))
     return pieces.mapInArrow(_plain(vocabulary, _ids), "doc_id long, piece long, ids array<int>, n_tokens long, n_bytes long")

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from kinweave.llm import bpe, decontam, htmltext, ngram_join, pii, suffix_dedup, urlfilter, warc
@@ -163,3 +164,16 @@ def test_segments_hold_each_window_once():
 
 def test_warc_digest():
     assert warc.digest_of(b"x") == base64.b32encode(hashlib.sha1(b"x").digest()).decode()
+
+
+def test_bpe_compares_what_its_ids_decode_to():
+    table = {"doc_id": [1, 2, 3], "from": [0, 0, 0], "text": ["ab", None, ""]}
+    batch = pa.RecordBatch.from_pydict(table, pa.schema([("doc_id", pa.int64()), ("from", pa.int64()), ("text", pa.string())]))
+
+    class Encoding:
+        def encode_ordinary(self, text):
+            return [ord(c) - ord("a") for c in text]
+
+    assert bpe._ids(batch, Encoding(), [b"a", b"b"], None).column("n_bytes").to_pylist() == [2, 0, 0]
+    with pytest.raises(ValueError, match="decode"):
+        bpe._ids(batch, Encoding(), [b"a", b"c"], None)

@@ -2,10 +2,9 @@
 
 A byte goes if it is covered by a string of LENGTH bytes that occurs at an
 earlier start too, in the order of (doc_id, start): that is, by a position whose
-longest previous factor has LENGTH or more bytes. Previous and next smaller
-positions in the order of suffixes give that factor; since only factors of
-LENGTH matter, suffixes are compared by their first LENGTH bytes, and the
-smallest position among equal prefixes is the one that stays.
+longest previous factor has LENGTH or more bytes. No suffix array is built: as
+only factors of LENGTH matter, suffixes are compared by their first LENGTH
+bytes, and the smallest position among equal prefixes is the one that stays.
 
 No machine holds the suffixes of a whole corpus, so they are dealt out by
 content. The anchor of a window of LENGTH bytes is its smallest K-gram by hash,

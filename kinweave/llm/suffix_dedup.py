@@ -1,52 +1,61 @@
 """Suffix-array dedup: removes bytes of passages that also start earlier, keeping the first.
 
 A byte goes if it is covered by a string of LENGTH bytes that occurs at an
-earlier start too, in the order of (doc_id, start): that is, by a position whose
-longest previous factor has LENGTH or more bytes. No suffix array is built: as
-only factors of LENGTH matter, suffixes are compared by their first LENGTH
-bytes, and the smallest position among equal prefixes is the one that stays.
+earlier start too, in the order of (doc_id, start): that is, by the longest
+previous factor of a position, if it has LENGTH or more bytes. The longest
+previous factor of a suffix is its longest common prefix with one of two others:
+the nearest in suffix order, before and behind it, that start at a smaller
+position (previous and next smaller positions).
 
 No machine holds the suffixes of a whole corpus, so they are dealt out by
-content. The anchor of a window of LENGTH bytes is its smallest K-gram by hash,
-the leftmost of equals; equal windows have equal anchors at equal places. Runs
-of windows with one anchor are a segment (LENGTH to 2 LENGTH - K bytes, about 35
-windows), and only segments with equal anchors need be compared:
+content, into buckets of which each has a suffix array of its own. The anchor of
+a window of LENGTH bytes is its smallest K-gram by hash, the leftmost of equals;
+equal windows have equal anchors at equal places. Runs of windows with one anchor
+are a segment (LENGTH to 2 LENGTH - K bytes, about 35 windows), and the segments
+with one anchor are a bucket: two suffixes with LENGTH bytes in common are in the
+same one.
 
 1. Documents with the bytes of an earlier document are removed whole and leave.
 2. Anchors that occur once in the corpus leave (a count that combines early).
 3. The segments that are left are fetched from their texts. All but the first
-   of equal segments are covered whole.
-4. Different segments with equal anchors are compared window by window in order
-   of their first positions: small groups streaming, in sorted partitions; groups
-   of more than GROUP segments as rows of window hashes of which the smallest
-   position is a minimum that combines early, so that no task holds a large group.
+   of equal segments are covered whole: equal suffixes, the first is the smallest.
+4. Of each bucket of different segments the suffixes are sorted, the common
+   prefixes of neighbours measured, previous and next smaller positions found, and
+   factors of LENGTH or more kept. Tasks read sorted partitions, a bucket at a time.
+   Of a bucket of more than GROUP segments no task could hold the suffix array; it
+   is cut into its intervals of suffixes with LENGTH bytes in common. The smallest
+   position of such an interval has no previous factor in it, each other has one,
+   and a minimum combines early. Both ways give the same bytes.
 5. The spans found are joined to the texts.
 
 Defined edge cases: a null or empty text has 0 bytes; a text under LENGTH bytes
 keeps all; rows with a null doc_id have no place in the order: they keep all and
-aren't earlier than others; repeated rows of a doc_id are one document and each
-get its result; other columns are ignored.
+aren't earlier than others; repeated rows of a doc_id and text are one document
+and each get its result; different texts under one doc_id follow each other in
+the order of a hash; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import discard, materialize
 
 LENGTH, K = 100, 32
 #: Bytes of a text worked on at once, as a power of two.
 CHUNK_BITS = 20
-#: Most different segments of an anchor that are compared in one task.
+#: Most different segments of an anchor that have one suffix array.
 GROUP = 1_000
+#: Bits of a position for the start within a text; those above number the different texts of a doc_id.
+START_BITS = 40
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -105,7 +114,7 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     anchors = Anchors()
     for batch in batches:
         found = [anchors.of((t.as_py() or "").encode()) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), _lists([k for k, _ in found]), _lists([p for _, p in found])], ["doc_id", "keys", "places"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), _lists([k for k, _ in found]), _lists([p for _, p in found])], ["doc_id", "base", "keys", "places"])
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +125,7 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             d = xxhash.xxh3_128_intdigest(b)
             rows.append(((d >> 64) - (1 << 63), (d & _MASK) - (1 << 63), len(b)))
         columns = list(zip(*rows, strict=True)) or [[]] * 3
-        yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in columns]], ["doc_id", "a", "b", "n"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *[pa.array(c, pa.int64()) for c in columns]], ["doc_id", "base", "a", "b", "n"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,12 +133,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("bytes", pa.binary())])
     for batch in batches:
         columns: list[list] = [[] for _ in schema]
-        for doc, text, asked in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+        for doc, text, base, asked in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             data = (text.as_py() or "").encode()
             for key, place in ((x["key"], x["place"]) for x in asked):
                 piece = data[place >> 8 : (place >> 8) + (place & 255)]
                 d = xxhash.xxh3_128_intdigest(piece)
-                for c, x in zip(columns, (key, (d >> 64) - (1 << 63), (d & _MASK) - (1 << 63), doc, place >> 8, piece), strict=True):
+                for c, x in zip(columns, (key, (d >> 64) - (1 << 63), (d & _MASK) - (1 << 63), doc, base + (place >> 8), piece), strict=True):
                     c.append(x)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
@@ -142,22 +151,71 @@ def _spans(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=SPAN)
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, doc_id, start), each of another content: spans of windows that an earlier row of the key has."""
-    now, seen = None, set()
+def common_prefix(a: bytes, b: bytes) -> int:
+    n = min(len(a), len(b))
+    x = int.from_bytes(a[:n]) ^ int.from_bytes(b[:n])
+    return n - (x.bit_length() + 7) // 8
+
+
+def previous_factors(segments: list[bytes]) -> list[tuple[int, int, int]]:
+    """(segment, offset, factor) of each suffix of LENGTH or more bytes whose longest previous factor has LENGTH or more. Segments stand in the order of their positions; a factor ends with its segment."""
+    places = [(k, i) for k, s in enumerate(segments) for i in range(len(s) - LENGTH + 1)]
+    suffixes = [segments[k][i:] for k, i in places]
+    order = sorted(range(len(places)), key=suffixes.__getitem__)  # the suffix array; equal suffixes by position
+    sorted_suffixes = [suffixes[p] for p in order]
+    # common prefixes of neighbours; shorter ones than LENGTH end the search for smaller positions and need no exact number
+    prefixes = [0, *(common_prefix(a, b) if a[:LENGTH] == b[:LENGTH] else 0 for a, b in zip(sorted_suffixes, sorted_suffixes[1:], strict=False))]
+    factors = [0] * len(places)
+
+    def smaller(at: range, prefix) -> None:
+        """Common prefixes with the nearest smaller position behind us on the way through `at`; prefix(i) is that of i and the one before on this way."""
+        stack: list[tuple[int, int]] = []  # position, common prefix with the smaller position below it
+        for i in at:
+            p, n = order[i], prefix(i)
+            if n < LENGTH:
+                stack.clear()
+                n = 0
+            while stack and stack[-1][0] > p:
+                n = min(n, stack.pop()[1])
+            if not stack:
+                n = 0
+            elif n > factors[p]:
+                factors[p] = n
+            stack.append((p, n))
+
+    n = len(order)
+    smaller(range(n), prefixes.__getitem__)
+    smaller(range(n - 1, -1, -1), lambda i: prefixes[i + 1] if i + 1 < n else 0)
+    return [(*places[p], f) for p, f in enumerate(factors) if f >= LENGTH]
+
+
+def _factors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (key, doc_id, start), each of another content: the factors of each key's bucket as spans."""
+
+    def found(rows: list[tuple[int, int, bytes]]) -> Iterator[tuple[int, int, int]]:
+        if len(rows) > 1:
+            last = None
+            for k, offset, factor in previous_factors([r[2] for r in rows]):
+                doc, start = rows[k][0], rows[k][1] + offset
+                if last and last[0] == doc and last[1] <= start <= last[2]:
+                    last = (doc, last[1], max(last[2], start + factor))
+                else:
+                    if last:
+                        yield last
+                    last = (doc, start, start + factor)
+            if last:
+                yield last
+
+    now, bucket = None, []
     for batch in batches:
         out = []
-        for key, doc, start, data in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+        for key, *row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
             if key != now:
-                now, seen = key, set()
-            old = [i for i in range(len(data) - LENGTH + 1) if data[i : i + LENGTH] in seen]
-            for i in old:
-                if out and out[-1][0] == doc and out[-1][1] <= start + i <= out[-1][2]:
-                    out[-1] = (doc, out[-1][1], start + i + LENGTH)
-                else:
-                    out.append((doc, start + i, start + i + LENGTH))
-            seen.update(data[i : i + LENGTH] for i in range(len(data) - LENGTH + 1))
+                out += found(bucket)
+                now, bucket = key, []
+            bucket.append(row)
         yield _spans(out)
+    yield _spans(list(found(bucket)))
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,14 +230,14 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text, spans, copy (an earlier document has the same bytes) -> the result's columns and the text left."""
+    """doc_id, text, base, spans, copy (an earlier document has the same bytes) -> the result's columns and the text left."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
     for batch in batches:
         rows = []
-        for doc, text, spans, copy in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+        for doc, text, base, spans, copy in zip(batch.column(0).to_pylist(), batch.column(1), *(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
             data = (text.as_py() or "").encode()
             merged: list[list[int]] = [[0, len(data)]] if copy and len(data) >= LENGTH else []
-            for s in sorted((s["from"], s["to"]) for s in (spans or []) if not copy):
+            for s in sorted((s["from"] - base, s["to"] - base) for s in (spans or []) if not copy):
                 if merged and s[0] <= merged[-1][1]:
                     merged[-1][1] = max(merged[-1][1], s[1])
                 else:
@@ -191,34 +249,38 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def _free(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of stages whose results are written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(copies, spans): doc_id of documents with the bytes of an earlier one, and doc_id, from, to of other spans that also start earlier. Spans may overlap."""
-    spark = docs.sparkSession
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    digests = d.mapInArrow(_digests, "doc_id long, a long, b long, n long").where(F.col("n") >= LENGTH)
-    firsts = digests.groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last").select("a", "b", "first")
+def based(docs: DataFrame) -> DataFrame:
+    """doc_id, text, base for each row of docs: the different texts of one doc_id begin 2^START_BITS positions apart."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    key = F.xxhash64(F.coalesce("text", F.lit("")), F.lit(11))
+    several = d.where("doc_id is not null").select("doc_id", key.alias("key")).groupBy("doc_id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("doc_id")
+    several = materialize(several, "dedup-several")
+    if several.isEmpty():
+        discard(several)
+        return d.withColumn("base", F.lit(0).cast("long"))
+    texts = d.select("doc_id", key.alias("key")).join(several, "doc_id", "left_semi").distinct()
+    texts = texts.withColumn("base", F.shiftleft(F.row_number().over(Window.partitionBy("doc_id").orderBy("key")).cast("long") - 1, START_BITS))
+    texts = materialize(texts.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), "base"), "dedup-texts")
+    return d.join(texts, (d.doc_id == texts._d) & (key == texts._k), "left").select(d.doc_id, d.text, F.coalesce("base", F.lit(0).cast("long")).alias("base"))
+
+
+def spans(d: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(copies, spans) of based() documents: doc_id, base of documents with the bytes of an earlier one, and doc_id, base, from, to of other spans that also start earlier. Spans may overlap."""
+    d = d.where("doc_id is not null")
+    digests = d.mapInArrow(_digests, "doc_id long, base long, a long, b long, n long").where(F.col("n") >= LENGTH)
+    document = F.struct("doc_id", "base")
+    firsts = digests.groupBy("a", "b").agg(F.min(document).alias("first"), F.max(document).alias("last")).where("first <> last").select("a", "b", "first")
     firsts = materialize(firsts, "dedup-firsts")
-    copies = materialize(digests.join(firsts, ["a", "b"]).where("doc_id <> first").select("doc_id").distinct(), "dedup-copies")
-    alone = d.join(copies, "doc_id", "left_anti")
-    found = materialize(alone.mapInArrow(_anchors, "doc_id long, keys array<long>, places array<long>"), "dedup-anchors")
-    _free(spark)
+    copies = materialize(digests.join(firsts, ["a", "b"]).where(document != F.col("first")).select("doc_id", "base").distinct(), "dedup-copies")
+    alone = d.join(copies, ["doc_id", "base"], "left_anti").select("doc_id", "text", "base")
+    found = materialize(alone.mapInArrow(_anchors, "doc_id long, base long, keys array<long>, places array<long>"), "dedup-anchors")
     shared = materialize(found.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "dedup-shared")
-    _free(spark)
-    rows = found.select("doc_id", F.inline(F.arrays_zip("keys", "places"))).toDF("doc_id", "key", "place")
-    asked = rows.join(shared, "key").groupBy("doc_id").agg(F.collect_set(F.struct("key", "place")).alias("asked"))
+    rows = found.select("doc_id", "base", F.inline(F.arrays_zip("keys", "places"))).toDF("doc_id", "base", "key", "place")
+    asked = rows.join(shared, "key").groupBy("doc_id", "base").agg(F.collect_set(F.struct("key", "place")).alias("asked"))
     asked = materialize(asked, "dedup-asked")
-    discard(found)
-    discard(shared)
-    _free(spark)
-    segments = materialize(d.join(asked, "doc_id").select("doc_id", "text", "asked").mapInArrow(_cut, "key long, a long, b long, doc_id long, start long, bytes binary"), "dedup-segments")
+    discard(firsts, found, shared)
+    segments = materialize(d.join(asked, ["doc_id", "base"]).select("doc_id", "text", "base", "asked").mapInArrow(_cut, "key long, a long, b long, doc_id long, start long, bytes binary"), "dedup-segments")
     discard(asked)
-    _free(spark)
     place = F.struct("doc_id", "start")
     unique = segments.groupBy("key", "a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("bytes").alias("bytes"))
     unique = materialize(unique.select("key", "a", "b", "first", (F.col("first") != F.col("last")).alias("repeated"), "bytes"), "dedup-unique")
@@ -228,25 +290,27 @@ def spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     discard(segments)
     groups = materialize(unique.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "dedup-groups")
     small = unique.join(groups.where(F.col("n") <= GROUP), "key", "left_semi").select("key", "first.doc_id", "first.start", "bytes")
-    streamed = small.repartition("key").sortWithinPartitions("key", "doc_id", "start").mapInArrow(_compare, "doc_id long, from long, to long")
+    factors = small.repartition("key").sortWithinPartitions("key", "doc_id", "start").mapInArrow(_factors, "doc_id long, from long, to long")
+    factors = materialize(factors, "dedup-factors")
     large = unique.join(groups.where(F.col("n") > GROUP), "key", "left_semi").select("first.doc_id", "first.start", "bytes")
     windows = materialize(large.mapInArrow(_windows, "a long, b long, doc_id long, start long"), "dedup-windows")
+    discard(unique, groups)
     earliest = windows.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").drop("last")
     late = windows.join(earliest, ["a", "b"]).where(place != F.col("first")).select("doc_id", F.col("start").alias("from"), (F.col("start") + LENGTH).alias("to"))
-    out = materialize(whole.unionByName(streamed).unionByName(late), "dedup-spans")
-    for x in (unique, whole, groups, windows):
-        discard(x)
-    _free(spark)
-    return copies, out
+    late = materialize(late, "dedup-late")
+    discard(windows)
+    base = F.shiftleft(F.shiftright("from", START_BITS), START_BITS).alias("base")
+    return copies, whole.unionByName(factors).unionByName(late).select("doc_id", base, "from", "to")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left) for each row of docs."""
-    copies, found = spans(docs)
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    by_doc = materialize(found.groupBy("doc_id").agg(F.collect_set(F.struct("from", "to")).alias("spans")).unionByName(copies.select("doc_id", F.array(F.struct(F.lit(0).cast("long").alias("from"), F.lit(0).cast("long").alias("to"))).alias("spans"))), "dedup-by-document")
-    discard(found)
-    joined = d.join(by_doc, "doc_id", "left").select("doc_id", "text", "spans", F.coalesce(F.col("spans")[0]["to"] == 0, F.lit(False)).alias("copy"))
+    d = based(docs)
+    copies, found = spans(d)
+    zero = F.lit(0).cast("long")
+    by_doc = found.groupBy("doc_id", "base").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
+    by_doc = materialize(by_doc.unionByName(copies.select("doc_id", "base", F.array(F.struct(zero.alias("from"), zero.alias("to"))).alias("spans"))), "dedup-by-document")
+    joined = d.join(by_doc, ["doc_id", "base"], "left").select("doc_id", "text", "base", "spans", F.coalesce(F.col("spans")[0]["to"] == 0, F.lit(False)).alias("copy"))
     return joined.mapInArrow(_kept, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 

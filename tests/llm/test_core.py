@@ -162,6 +162,25 @@ def test_segments_hold_each_window_once():
     assert of(a, 0) <= of(b, 150)
 
 
+def test_previous_factors_are_the_longest():
+    rng = random.Random(7)
+    for length in (3, 5):
+        old, suffix_dedup.LENGTH = suffix_dedup.LENGTH, length
+        try:
+            for _ in range(300):
+                segments = [bytes(rng.choices(b"ab", k=rng.randint(length, 12))) for _ in range(rng.randint(1, 6))]
+                want = []
+                for k, s in enumerate(segments):
+                    for i in range(len(s) - length + 1):
+                        earlier = [(m, j) for m, t in enumerate(segments) for j in range(len(t) - length + 1) if (m, j) < (k, i)]
+                        best = max((suffix_dedup.common_prefix(s[i:], segments[m][j:]) for m, j in earlier), default=0)
+                        if best >= length:
+                            want.append((k, i, best))
+                assert suffix_dedup.previous_factors(segments) == want
+        finally:
+            suffix_dedup.LENGTH = old
+
+
 def test_warc_digest():
     assert warc.digest_of(b"x") == base64.b32encode(hashlib.sha1(b"x").digest()).decode()
 

@@ -54,7 +54,7 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_words_left", "base_failed", "kept")
+    return quality.judge(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_warc, op3_benchmark_decontamination, op4_license_scans, op5_html_extraction, op6_ngram_jaccard_join, op7_pii, op8_url_filters, op9_suffix_array_dedup, op10_quality_rules)}

@@ -206,6 +206,19 @@ def test_suffix_dedup(spark, monkeypatch, group):
         assert suffix_dedup.dedup(docs(spark).limit(0) if False else docs(spark, (1, "x")).limit(0)).collect() == []
 
 
+def test_suffix_dedup_of_several_texts_under_one_id_and_over_chunks(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BITS", 10)
+    rng = random.Random(14)
+    shared, long = prose(rng, 40), prose(rng, 1500)
+    table = [(1, long), (2, f"{prose(rng, 9)} {long[2000:7000]}"), (3, f"a {shared}"), (3, f"b {shared}"), (3, f"b {shared}"), (4, shared)]
+    got = rows(suffix_dedup.dedup(docs(spark, *table)), "doc_id", "n_bytes", "n_removed")
+    n = len(shared) + 1
+    assert [x for x in got if x[0] < 3] == [(1, len(long), 0), (2, len(table[1][1]), 5001 if table[1][1][-5001] == long[1999] else 5000)]
+    assert got[-1] == (4, n - 1, n - 1)
+    three = [x for x in got if x[0] == 3]
+    assert all(x[1] == n + 1 for x in three) and sorted(x[2] for x in three) in ([0, 0, n], [0, n, n])
+
+
 def test_quality(spark):
     rng = random.Random(7)
     head = "This site uses cookies 7."
@@ -231,6 +244,41 @@ def test_quality(spark):
     assert quality.judge(d.limit(0)).collect() == []
 
 
+def test_quality_counts_documents_and_not_copies(spark):
+    """Whole footers and fixed menus go, also beside a group of near copies of a third of the host, whose lines stay."""
+    rng = random.Random(12)
+    footer = "Imprint of the site\nContact us 7\nTerms and conditions"
+    menu = "\n".join(f"menu entry {chr(97 + k) * 3}" for k in range(20))
+    table = [(i, f"{prose(rng, 90)}\n{prose(rng, 30)}\n{footer}", "a") for i in range(200)]
+    table += [(300 + i, f"{menu}\n{prose(rng, 100)}", "a") for i in range(60)]
+    table += [(400 + i, f"{menu}\n{prose(rng, 12)}", "a") for i in range(5)]
+    lines = [prose(rng, 20) for _ in range(8)]
+    for k in range(130):
+        words = "\n".join(lines).split(" ")
+        for _ in range(4):
+            at = rng.randrange(len(words))
+            words[at] = "\n".join(["edit" + str(rng.randrange(10**6)), *words[at].split("\n")[1:]])
+        table.append((500 + k, " ".join(words), "a"))
+    got = {r.doc_id: r for r in quality.judge(docs(spark, *table)).collect()}
+    assert all(got[i].n_words - got[i].n_words_left == 10 and got[i].kept for i in range(200))
+    assert all(got[300 + i].n_words - got[300 + i].n_words_left == 60 and got[300 + i].kept for i in range(60))
+    assert not any(got[400 + i].kept or got[400 + i].base_failed for i in range(5))
+    assert all(got[500 + i].n_words == got[500 + i].n_words_left and got[500 + i].kept for i in range(130))
+    clean = quality.clean(docs(spark, *table))
+    assert not clean.where(F.col("text").contains("Imprint") | F.col("text").contains("Contact us") | F.col("text").contains("Terms and") | F.col("text").contains("menu")).count()
+
+
+def test_quality_keeps_columns_of_any_name_and_long_texts(spark):
+    rng = random.Random(13)
+    text = prose(rng, 120)
+    names = "doc_id long, text string, source string, _host string, _key long, _gone string, gone string, kept string, host string, `all` string, row long, lines string"
+    d = spark.createDataFrame([(1, text, "s", "x", 5, "y", "z", "k", "h", "a", 3, "l"), (None, text, None, None, None, None, None, None, None, None, None, None)], names)
+    assert quality.clean(d).columns == d.columns and sorted(map(tuple, quality.clean(d).collect()), key=repr) == sorted(map(tuple, d.collect()), key=repr)
+    long = "\n".join(prose(rng, 10) for _ in range(20_000))
+    r = quality.judge(docs(spark, (1, long))).first()
+    assert r.n_words == 200_000 and r.kept and quality.clean(docs(spark, (1, long))).first().text == long
+
+
 def test_repeat_words_brute_force(spark):
     rng = random.Random(8)
     table = [(i, " ".join(rng.choices("abc", k=rng.randint(0, 12)))) for i in range(60)]

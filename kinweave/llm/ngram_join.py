@@ -44,6 +44,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -226,7 +227,7 @@ def _search(percent: int):
     """Of one block of a pivot's documents: links of those that aren't linked to the pivot. Connected pairs are not verified again."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        own = table.filter(pa.compute.invert(table["asks"]))
+        own = table.filter(pc.invert(table["asks"]))
         asking = table.filter(table["asks"])
         ids, sets = own["doc_id"].to_pylist(), [np.asarray(x.values).view(np.uint64) for x in own["s"]]
         tree = RTree(np.array([counts(s) for s in sets], np.int32).reshape(-1, GROUPS))

@@ -15,11 +15,17 @@ log2(splits of a file) rounds, and only records on the chain are kept. Records
 whose payload holds a magic span fragments; they are put together again from
 the fragments between their offset and the next.
 
+A candidate whose length reaches beyond its file isn't one. Sizes and digests are
+those of the bytes read; a response whose digest isn't the one in its header
+raises. A revisit holds no payload: its size is that of the response that it
+refers to, which must have the digest that the revisit states.
+
 Memory: a task holds the metadata of one split and one record's payload.
 
 Defined edge cases: a null html is an empty payload; repeated rows (equal ids
 and payloads) are one response each; a null id gives a record with an empty
-Kinweave-Id and reads as null; an empty table gives no files and no rows.
+Kinweave-Id, is never a revisit, and reads as null; an empty table gives no files
+and no rows.
 """
 
 from __future__ import annotations
@@ -28,8 +34,10 @@ import base64
 import hashlib
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import delete_path, discard, fresh_path, materialize
 
@@ -63,7 +71,7 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
         F.lit(MAGIC),
         F.lit("WARC-Type: "), F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"), F.lit("\r\nWARC-Target-URI: "), uri,
         F.lit("\r\nWARC-Date: 1970-01-01T00:00:00Z\r\nWARC-Record-ID: <urn:uuid:"), F.uuid(), F.lit(">\r\nContent-Type: text/html; charset=utf-8"),
-        F.lit("\r\nWARC-Payload-Digest: sha1:"), F.col("digest"), F.lit("\r\nKinweave-Payload-Bytes: "), F.col("bytes").cast("string"),
+        F.lit("\r\nWARC-Payload-Digest: sha1:"), F.col("digest"),
         F.lit("\r\nKinweave-Id: "), F.coalesce(F.col("page_id").cast("string"), F.lit("")),
         F.when(F.col("refers_to").isNull(), "").otherwise(F.concat(F.lit("\r\nWARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest\r\nKinweave-Refers-To: "), F.col("refers_to").cast("string"))),
         F.lit("\r\nContent-Length: "), F.when(F.col("refers_to").isNull(), F.col("bytes")).otherwise(0).cast("string"), F.lit("\r\n\r\n"),
@@ -73,12 +81,13 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
 
 
 def fragments(spark: SparkSession, path: str) -> DataFrame:
-    """value (binary), file, split (its first byte): what stands between magics, in order within a split."""
+    """value (binary), file, split (its first byte), file_size: what stands between magics, in order within a split."""
     text = spark.read.option("lineSep", MAGIC).text(path)
-    return text.select(F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"))
+    return text.select(F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("_metadata.file_size").alias("file_size"))
 
 
-def _parse(value: bytes) -> dict | None:
+def _parse(value: bytes, most: int) -> dict | None:
+    """The header fields of a record whose block has at most `most` bytes; None if this is no such record."""
     head, found, _ = value.partition(b"\r\n\r\n")
     if not found:
         return None
@@ -89,14 +98,18 @@ def _parse(value: bytes) -> dict | None:
             return None
         fields[name.strip().lower()] = rest.strip()
     length = fields.get(b"content-length", b"")
-    return fields | {b"head": len(head) + 4, b"length": int(length)} if length.isdigit() else None
+    # the number of digits first: int() refuses very long ones
+    length = length.lstrip(b"0") or length[:1]
+    if not length.isdigit() or len(length) > len(str(most)) or int(length) > most:
+        return None
+    return fields | {b"head": len(head) + 4, b"length": int(length)}
 
 
 def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-CANDIDATE = pa.schema([("file", pa.string()), ("split", pa.int64()), ("at", pa.int64()), ("size", pa.int64()), ("head", pa.int64()), ("length", pa.int64()), ("type", pa.string()), ("id", pa.string()), ("refers", pa.string()), ("payload_bytes", pa.int64()), ("stated", pa.string()), ("digest", pa.string())])
+CANDIDATE = pa.schema([("file", pa.string()), ("split", pa.int64()), ("at", pa.int64()), ("size", pa.int64()), ("head", pa.int64()), ("length", pa.int64()), ("type", pa.string()), ("id", pa.string()), ("refers", pa.string()), ("stated", pa.string()), ("digest", pa.string())])
 
 
 def _candidates(batches):
@@ -104,17 +117,16 @@ def _candidates(batches):
     place, at, magic = None, 0, len(MAGIC)
     for batch in batches:
         out = []
-        for value, file, split in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+        for value, file, split, most in zip(batch.column(0), *(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
             if (file, split) != place:
                 place, at = (file, split), 0
             v = value.as_py()
-            f = _parse(v) if v else None
+            f = _parse(v, most) if v else None
             row = dict.fromkeys(CANDIDATE.names) | {"file": file, "split": split, "at": at, "size": len(v)}
             if f:
                 text = lambda k: f.get(k, b"").decode("utf-8", "replace")  # noqa: B023, E731
                 end = f[b"head"] + f[b"length"]
-                stated = text(b"kinweave-payload-bytes")
-                row |= {"head": f[b"head"], "length": f[b"length"], "type": text(b"warc-type"), "id": text(b"kinweave-id"), "refers": text(b"kinweave-refers-to"), "payload_bytes": int(stated) if stated.isdigit() else None, "stated": text(b"warc-payload-digest").removeprefix("sha1:"), "digest": digest_of(v[f[b"head"] : end]) if end <= len(v) else None}
+                row |= {"head": f[b"head"], "length": f[b"length"], "type": text(b"warc-type"), "id": text(b"kinweave-id"), "refers": text(b"kinweave-refers-to"), "stated": text(b"warc-payload-digest").removeprefix("sha1:"), "digest": digest_of(v[f[b"head"] : end]) if end <= len(v) else None}
             out.append(row)
             at += len(v) + magic
         yield pa.RecordBatch.from_pylist(out, CANDIDATE)
@@ -140,17 +152,17 @@ def _walk(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """file, start, next, type, id, refers, payload_bytes, stated (the digest in the header), digest (of the payload that the archive holds) for each record on the chain of its file."""
+    """file, start, next, type, id, refers, length (bytes of the payload that the archive holds), stated (the digest in the header), digest (of that payload) for each record on the chain of its file."""
     found = materialize(fragments(spark, path).mapInArrow(_candidates, _ddl(CANDIDATE)), "warc-candidates")
     magic = len(MAGIC)
     # a split's fragments begin where those of the splits before it end
     sizes = found.groupBy("file", "split").agg(F.sum(F.col("size") + magic).alias("bytes"))
-    later = sizes.select("file", F.col("split").alias("after"))
-    bases = sizes.join(later, "file").groupBy("file", "after").agg(F.coalesce(F.sum(F.when(F.col("split") < F.col("after"), F.col("bytes"))), F.lit(0)).alias("base")).withColumnRenamed("after", "split")
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)  # a row for each split
+    bases = sizes.select("file", "split", F.coalesce(F.sum("bytes").over(before), F.lit(0).cast("long")).alias("base"))
     # a fragment at 0 is what stands before the first magic; the others stand behind the magic that begins at their offset less its length
     placed = found.join(bases, ["file", "split"]).withColumn("start", F.col("base") + F.col("at") - magic)
     placed = placed.withColumn("next", F.when(F.col("start") >= 0, F.col("start") + magic + F.col("head") + F.col("length") + len(END)))
-    placed = materialize(placed.select("file", "split", "start", "size", "head", "length", "next", "type", "id", "refers", "payload_bytes", "stated", "digest"), "warc-placed")
+    placed = materialize(placed.select("file", "split", "start", "size", "head", "length", "next", "type", "id", "refers", "stated", "digest"), "warc-placed")
     candidates = placed.where("next is not null")
     jumps = materialize(candidates.groupBy("file", "split").applyInArrow(_exits, "file string, entry long, exit long"), "warc-jumps")
     reached = candidates.where("start = 0").select("file", F.col("start").alias("entry"))
@@ -163,14 +175,14 @@ def records(spark: SparkSession, path: str) -> DataFrame:
             on = jumps.alias("a").join(jumps.alias("b"), (F.col("a.file") == F.col("b.file")) & (F.col("a.exit") == F.col("b.entry")), "left")
             jumps = materialize(on.select("a.file", "a.entry", F.coalesce("b.exit", "a.exit").alias("exit")), "warc-jumps")
     entered = candidates.join(reached.select("file", F.col("entry").alias("start"), F.col("entry")), ["file", "start"], "left")
-    entered = entered.select("file", "split", "start", "next", "head", "length", "type", "id", "refers", "payload_bytes", "stated", "digest", "entry")
+    entered = entered.select("file", "split", "start", "next", "head", "length", "type", "id", "refers", "stated", "digest", "entry")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in entered.schema if f.name != "entry")
     chain = materialize(entered.groupBy("file", "split").applyInArrow(_walk, schema), "warc-chain")
     whole = chain.where("digest is not null")
     cut = chain.where("digest is null")
     if not cut.isEmpty():
         whole = whole.unionByName(_put_together(fragments(spark, path), placed, bases, cut))
-    return whole.select("file", "start", "next", "type", "id", "refers", "payload_bytes", "stated", "digest")
+    return whole.select("file", "start", "next", "type", "id", "refers", "length", "stated", "digest")
 
 
 def _put_together(pieces: DataFrame, placed: DataFrame, bases: DataFrame, cut: DataFrame) -> DataFrame:
@@ -187,7 +199,7 @@ def _offsets(batches):
     place, at, magic = None, 0, len(MAGIC)
     for batch in batches:
         offsets = []
-        for size, file, split in zip(pa.compute.binary_length(batch.column(0)).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+        for size, file, split in zip(pc.binary_length(batch.column(0)).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             if (file, split) != place:
                 place, at = (file, split), 0
             offsets.append(at)
@@ -214,9 +226,15 @@ def round_trip(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     found = materialize(records(spark, path), "warc-records")
     delete_path(spark, path)
     number = lambda c: F.when(F.col(c) != "", F.col(c)).cast("long")
-    # a response's digest is that of the bytes read; a revisit holds none and states that of the record it refers to
-    digest = F.when(F.col("type") == "revisit", F.col("stated")).otherwise(F.col("digest"))
-    return found.select(number("id").alias("page_id"), "payload_bytes", digest.alias("payload_digest"), F.col("type").alias("record_type"), number("refers").alias("refers_to"))
+    found = found.select(number("id").alias("page_id"), "length", "stated", "digest", F.col("type").alias("record_type"), number("refers").alias("refers_to"))
+    responses = found.where("record_type = 'response'")
+    digest = F.when(F.col("stated") == F.col("digest"), F.col("digest")).otherwise(F.raise_error(F.concat(F.lit("payload of another digest than stated, id "), F.coalesce(F.col("page_id").cast("string"), F.lit("null")))))
+    first = responses.select("page_id", F.col("length").alias("payload_bytes"), digest.alias("payload_digest"), "record_type", "refers_to")
+    # a payload that very many revisits refer to is one row here, and Spark splits the other side
+    targets = responses.select(F.col("page_id").alias("refers_to"), F.col("digest").alias("stated"), F.col("length").alias("payload_bytes")).distinct()
+    revisits = found.where("record_type = 'revisit'").drop("length", "digest").join(targets, ["refers_to", "stated"], "left")
+    known = F.coalesce("payload_bytes", F.raise_error(F.lit("a revisit refers to no response of its digest")).cast("long"))
+    return first.unionByName(revisits.select("page_id", known.alias("payload_bytes"), F.col("stated").alias("payload_digest"), "record_type", "refers_to"))
 
 
 ORACLE = f"""

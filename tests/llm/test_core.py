@@ -143,6 +143,24 @@ def test_pii_short_names_ibans_before_tokens_national_phones_and_letter_secrets(
     assert s.replace("AB12 3456 4111 1111 1111 1111")[0] != "AB12 3456 4111 1111 1111 1111"
 
 
+def test_pii_of_other_scripts_invalid_ibans_and_untitled_names():
+    s = pii.Surrogates(b"k")
+    out, kinds = s.replace("pay ID42 4111 1111 1111 1111 now")
+    assert kinds == ["card"] and "4111 1111" not in out
+    out, kinds = s.replace("DE89 3704 0044 0532 0130 01 EUR")  # mistyped
+    assert kinds == ["iban"] and "3704" not in out and out.startswith("DE") and out.endswith(" EUR") and not pii._valid_iban(out[:-4])
+    for name in ("李明", "Łøå", "O'Neil-Smith", "D’Arcy", "Ёлкин", "अमित", "محمد"):
+        out, kinds = s.replace(f"Dr {name} came; {name} said")
+        new = out.removeprefix("Dr ").split(" came")[0]
+        assert kinds == ["name"] and new != name and len(new) == len(name) and out == f"Dr {new} came; {new} said"
+        assert all(a == b or pii.place_of(a.lower())[0] == pii.place_of(b.lower())[0] for a, b in zip(name, new, strict=True))
+    out, kinds = s.replace("Maria Schmidt met Ms Anna and IVAN; Maria and Schmidt left. Anna too")
+    first, last = out.split(" ")[:2]
+    assert first in pii.GIVEN[0] and first != "Maria" and last[-1] == "t" and f"; {first} and {last} left." in out and kinds == ["name", "name"]
+    listed = [s.one("word", n) for names in pii.GIVEN for n in names]
+    assert len(set(listed)) == len(listed) and all(a.lower() in pii.LISTED and a != n for a, n in zip(listed, (n for names in pii.GIVEN for n in names), strict=True))
+
+
 def test_pii_is_a_permutation_without_fixed_points():
     s = pii.Surrogates(b"k")
     for m in (2, 10, 26, 1000):
@@ -185,6 +203,13 @@ def test_warc_digest():
     assert warc.digest_of(b"x") == base64.b32encode(hashlib.sha1(b"x").digest()).decode()
 
 
+def test_warc_lengths_beyond_the_file():
+    for length in (b"9" * 23, b"9223372036854775807", b"101", b"-1", b"", b"9" * 5000, "²".encode()):
+        assert warc._parse(b"Content-Length: " + length + b"\r\n\r\nabc", 100) is None
+    assert warc._parse(b"Content-Length: " + b"0" * 5000 + b"\r\n\r\n", 100)[b"length"] == 0
+    assert warc._parse(b"Content-Length: 0100\r\n\r\nabc", 100)[b"length"] == 100
+
+
 def test_bpe_compares_what_its_ids_decode_to():
     table = {"doc_id": [1, 2, 3], "from": [0, 0, 0], "text": ["ab", None, ""]}
     batch = pa.RecordBatch.from_pydict(table, pa.schema([("doc_id", pa.int64()), ("from", pa.int64()), ("text", pa.string())]))

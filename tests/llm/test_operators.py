@@ -70,6 +70,15 @@ def test_warc(spark):
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
 
 
+def test_warc_with_hostile_payloads_and_null_ids(spark):
+    big = "".join(f"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: {n}\r\n\r\nabc\r\n\r\n" for n in ("9" * 23, "9223372036854775807", "9223372036854775000", "3"))
+    table = [(1, big), (2, big), (None, big), (None, "x"), (None, "x"), (3, "y" * 300_000 + big), (4, "plain")]
+    d = spark.createDataFrame([(i, None, h, "d", "t") for i, h in table], PAGES)
+    got = rows(warc.round_trip(d), "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    want = [(i, len(h.encode()), warc.digest_of(h.encode()), "revisit" if i == 1 else "response", 2 if i == 1 else None) for i, h in table]
+    assert got == sorted(want, key=repr)
+
+
 def test_decontamination(spark):
     rng = random.Random(2)
     q, a = prose(rng, 30), prose(rng, 8)
@@ -161,6 +170,16 @@ def test_pii(spark):
     assert pii.scrub(d.limit(0)).collect() == []
 
 
+def test_pii_has_no_collisions(spark):
+    rng = random.Random(15)
+    texts = [f"Mr. {rng.choice('ABCDE')}{prose(rng, 1)} {rng.choice('KLM')}{prose(rng, 1)}, {rng.randrange(10**3):03}-{rng.randrange(10**2):02}-{rng.randrange(10**4):04}, {prose(rng, 1)}@{prose(rng, 1)}.org, +49 30 {rng.randrange(10**6):06}" for _ in range(400)]
+    d = docs(spark, *enumerate(texts + texts[:50]))
+    assert pii.collisions(d).count() == 0 and pii.entities(d).count() > 1200
+    long = " ".join(texts) + " x" * 100_000
+    r = pii.scrub(docs(spark, (1, long))).first()
+    assert r.n_entities == 1600 and len(r.text) > 200_000
+
+
 def test_urls(spark):
     urls = ["http://com/en/1", "http://A.Example.COM/en/7?x", "https://x.net/de/1", "https://example.net/de/81#f", "http://my.org/es/", "http://notcom/en/1", None, "nothing", "ftp://casino-bets.example.io", "http://a.org?es/"]
     d = spark.createDataFrame([(i, u, "h", "d", "t") for i, u in enumerate(urls)], PAGES)

@@ -4,7 +4,7 @@ A page is cut into flat blocks at block-level tags. Each block has its word
 count, its link density (share of its words inside links), those of the blocks
 before and after it, and where it stands: inside the page's main element,
 inside furniture (navigation, forms, asides, comments and elements that are
-named like that), or a heading. A decision tree, trained on the labelled table
+named like that or hidden), or a heading. A decision tree, trained on the labelled table
 below, says which blocks are text of the article. Whole pages are processed in
 Python, a page at a time.
 
@@ -24,19 +24,24 @@ from pyspark.sql import DataFrame
 
 #: Elements that begin and end a block.
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
-#: Elements whose content is no text of the page.
+#: Elements whose content is no text of the page, up to their end tag. Of RAW ones that never end, the rest of the page is content; of others without an end tag only the tag is dropped.
 OPAQUE = frozenset("script style title noscript template textarea select iframe svg math object applet noframes datalist button canvas audio video".split())
+RAW, FOREIGN = frozenset(("script", "style")), frozenset(("svg", "math"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that hold no article text; header only outside the main element, where it may hold the title.
 FURNITURE = frozenset("nav aside footer form menu dialog fieldset".split())
-#: Parts of class, id and role that name furniture.
-NAMED = re.compile(r"(?<![a-z])(?:ads?|advert\w*|adsense|banner|promo\w*|sponsor\w*|nav\w*|menus?|side-?_?bar|comments?|comment-?\w*|disqus|repl(?:y|ies)|respond|footer|header|masthead|cookies?|consent|gdpr|notices?|alert|disclaimer|newsletter|subscri\w*|sign-?up|login|search|share|sharing|social|related|recommend\w*|breadcrumbs?|pagination|pager|widget|popup|modal|overlay|toolbar|contentinfo|complementary|navigation)(?![a-z])", re.I)
+#: Parts of class, id and role that name furniture, unless a word before them says that the element is only around it or beside it.
+NAMED = re.compile(r"(?<![a-z])(?<!has-)(?<!has_)(?<!with-)(?<!with_)(?<!no-)(?<!no_)(?<!without-)(?:ads?|advert\w*|adsense|banner|promo\w*|sponsor\w*|nav\w*|menus?|side-?_?bar|comments?|comment-?\w*|disqus|repl(?:y|ies)|respond|footer|header|masthead|cookies?|consent|gdpr|notices?|alert|disclaimer|newsletter|subscri\w*|sign-?up|login|search|share|sharing|social|related|recommend\w*|breadcrumbs?|pagination|pager|widget|popup|modal|overlay|toolbar|contentinfo|complementary|navigation)(?![a-z])", re.I)
+COMMENTS = re.compile(r"(?<![a-z])(?:comment|disqus|repl(?:y|ies)|respond)", re.I)
 MAIN_NAMED = re.compile(r"(?<![a-z])(?:main|articlebody|article-?body|post-?content|entry-?content)(?![a-z])", re.I)
-ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|itemprop|hidden|aria-hidden|style)(?![\w-])\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)>|<[!?/][^>]*>|<[a-zA-Z!?/][^>]*\Z", re.S)
 SPACES = re.compile(r"\s+")
-OPEN_MAIN, OPEN_FURNITURE = 1, 2
+UNQUOTED = re.compile(r"=\s*[^\s\"'>]+/\Z")
+HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+#: What an open element is: the main element; furniture by its tag or for being hidden, or comments; furniture by its name, in which a main element may still begin.
+OPEN_MAIN, OPEN_FURNITURE, OPEN_NAMED = 1, 2, 3
 
 #: The labelled table. Columns: place (1 inside the main element, 0 the page has none, -1 outside it), furniture, heading, words, link density in percent, words and density of the block before, words and density of the block after (0, 0 at the ends), label (1 article).
 LABELLED = """
@@ -63,6 +68,10 @@ LABELLED = """
  0 0 1  4   0  0   0 60   0 1 | 0 0 1  3   0  2 100 40   0 1 | 0 0 1  6   0  5   0 35   0 1 | 0 0 1  2   0 45   0 50   0 1 | 0 0 0  6   0 40   0 25   0 1
  0 0 1  8   0  1   0 70   0 1 | 0 0 1  5   0  9   0 28   0 1 | 0 0 0 11   0 30   0 50   0 1 | 0 0 0  3   0 70   0 30   0 1 | 0 0 0  7   0  4   0  3   0 0
  0 0 1  2   0  2 100 45   0 1 | 0 0 1  1   0  3 100 38   0 1 | 0 0 1  2   0  0   0 50   0 1 | 0 0 1  1   0 12   0 90   0 1 | 0 0 1  2   0  1 100 28   0 1
+ 0 0 0 40  95 60   0 55   0 0 | 0 0 0 60  90 45   0 70   0 0 | 0 0 0 26  85 80   0 60   0 0 | 0 0 0 90  98 30   0 45   0 0 | 0 0 0 34  60 55   0 40   0 0
+ 0 0 0 40  30 60   0 55   0 1 | 0 0 0 60  20 45   0 70   0 1 | 0 0 0 26  25 80   0 60   0 1 | 0 0 0 90  12 30   0 45   0 1 | 0 0 0 34   0 55   0 40   0 1
+ 0 0 0 14  80 50   0 35   0 0 | 0 0 0 10 100 70   0 44   0 0 | 0 0 0 9   90 33   0 60   0 0 | 0 0 0 13  15 50   0 35   0 1 | 0 0 0 12   5 70   0 44   0 1
+ 0 0 0 30   0 20  95 25   0 1 | 0 0 0 8    0 30  95  9  90 0 | 0 0 0 36  92  2 100 3 100 0 | 0 0 0 55  88  4  80 50   0 0 | 0 0 0 47  10 12  90 50   0 1
  0 1 0 40   0 60   0 50   0 0 | 0 1 0  3 100  2 100  3 100 0 | 0 1 0 15   0 60   0 30   0 0 | 0 1 0 80   0 20   0 40   0 0 | 0 1 1  3   0 60   0 30   0 0
 """
 FEATURES = ("place", "furniture", "heading", "words", "density", "words_before", "density_before", "words_after", "density_after")
@@ -110,20 +119,32 @@ def classify(x: tuple[float, ...], node=None) -> int:
     return node
 
 
+@lru_cache
+def _end_of(name: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I)
+
+
+def _names(attributes: str) -> tuple[str, bool]:
+    """class, id, role and itemprop of a tag, and whether it is hidden."""
+    found = {k.lower(): x or y or z for k, x, y, z in reversed(ATTRIBUTE.findall(attributes))}
+    hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or bool(HIDING.search(found.get("style", "")))
+    return " ".join(found.get(k, "") for k in ("class", "id", "role", "itemprop")), hidden
+
+
 def blocks(page: str) -> list[dict]:
     """text, words, linked (words inside links), place, furniture and heading of each block with text, in page order."""
     out: list[dict] = []
     parts: list[tuple[str, bool]] = []
     opened: list[tuple[str, int]] = []
-    state = {OPEN_MAIN: 0, OPEN_FURNITURE: 0}
-    heading, link = False, False
+    state = {OPEN_MAIN: 0, OPEN_FURNITURE: 0, OPEN_NAMED: 0}
+    heading, link, named_p = False, False, False
 
     def flush():
         if parts:
             text = SPACES.sub(" ", "".join(p for p, _ in parts)).strip()
             if text:
                 linked = len("".join(p if inside else " " for p, inside in parts).split())
-                out.append({"text": text, "words": len(text.split(" ")), "linked": linked, "main": state[OPEN_MAIN] > 0, "furniture": state[OPEN_FURNITURE] > 0, "heading": heading})
+                out.append({"text": text, "words": len(text.split(" ")), "linked": linked, "main": state[OPEN_MAIN] > 0, "furniture": state[OPEN_FURNITURE] + state[OPEN_NAMED] > 0 or named_p, "heading": heading})
             parts.clear()
 
     def close(to: int):
@@ -146,9 +167,11 @@ def blocks(page: str) -> list[dict]:
             continue
         closing = bool(m["close"] or m["close2"])
         if name in OPAQUE:
-            if not closing and not (m["rest"] or m["rest2"] or "").endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-                at = end.end() if end else n
+            rest = m["rest"] or m["rest2"] or ""
+            # only foreign elements close themselves, and a slash that ends an unquoted value doesn't
+            if not closing and not (name in FOREIGN and rest.endswith("/") and not UNQUOTED.search(rest)):
+                end = _end_of(name).search(page, at)
+                at = end.end() if end else n if name in RAW else at
             continue
         if name == "a":
             link = not closing
@@ -157,6 +180,7 @@ def blocks(page: str) -> list[dict]:
         elif name in BLOCK:
             flush()
             heading = name in HEADING and not closing
+            named_p = False
             if name in VOID:
                 continue
             if closing:
@@ -168,15 +192,23 @@ def blocks(page: str) -> list[dict]:
             elif name != "p":
                 if name in ("li", "dd", "dt", "td", "th", "tr", "option") and opened and opened[-1][0] == name:
                     close(len(opened) - 1)
-                names = " ".join(x or y or z or k for k, x, y, z in ATTRIBUTE.findall(m["rest"] or m["rest2"] or ""))
+                names, hidden = _names(m["rest"] or m["rest2"] or "")
                 kind = 0
-                if name in FURNITURE or name == "header" and not state[OPEN_MAIN] or name not in ("html", "body", "main") and name not in HEADING and names and NAMED.search(names):
+                if name in FURNITURE or hidden or name == "header" and not state[OPEN_MAIN]:
                     kind = OPEN_FURNITURE
-                elif name in ("article", "main") or names and MAIN_NAMED.search(names) and name in ("div", "section"):
+                elif name not in ("html", "body", "main") and name not in HEADING and NAMED.search(names):
+                    kind = OPEN_FURNITURE if COMMENTS.search(names) else OPEN_NAMED
+                elif name in ("article", "main") or MAIN_NAMED.search(names) and name in ("div", "section"):
                     kind = OPEN_MAIN
+                    if name in ("article", "main"):  # what is around the article is no furniture, whatever its name
+                        opened[:] = [(x, 0 if k == OPEN_NAMED else k) for x, k in opened]
+                        state[OPEN_NAMED] = 0
                 if kind:
                     state[kind] += 1
                 opened.append((name, kind))
+            else:
+                names, hidden = _names(m["rest"] or m["rest2"] or "")
+                named_p = hidden or bool(NAMED.search(names))
     flush()
     return out
 

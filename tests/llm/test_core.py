@@ -55,6 +55,30 @@ def test_html_edges():
     assert htmltext.main_text("<article>" + "<div " * 3000) == ""
 
 
+def test_html_unclosed_named_and_hidden():
+    article = "<article><p>one</p>{}<p>two</p></article>"
+    for x in ("button", "select", "svg", "object", "canvas", "noscript", "title"):
+        assert htmltext.main_text(article.format(f"<{x}>")) == "one\n\ntwo"
+        assert htmltext.main_text(article.format(f"<{x}>gone</{x}>")) == "one\n\ntwo"
+    assert htmltext.main_text(article.format("<script src=/js/>var code</script>")) == "one\n\ntwo"
+    assert htmltext.main_text(article.format("<svg/>") + "<svg></svg>") == "one\n\ntwo"
+    assert htmltext.main_text(article.format("<script>never closed")) == "one"
+    for x in ('<p class="cookie-notice">cookies', "<div hidden>x</div>", '<div aria-hidden="true">x</div>', '<div style="display: none">x</div>', '<p hidden>x', '<div class="ad">x</div>', '<section class="comments"><article><p>x</article></section>'):
+        assert htmltext.main_text(article.format(x)) == "one\n\ntwo", x
+    for x in ("layout has-sidebar", "page with-menu", "no-footer", "search-page"):
+        assert htmltext.main_text(f'<div class="{x}">{article.format("")}</div>') == "one\n\ntwo", x
+
+
+def test_html_link_density_decides_without_main_element():
+    text, links = "word " * 40, "".join(f"<a href=/{k}>some link words here</a> " for k in range(12))
+    page = PAGE.format(f"<div><h2>Title</h2><p>{text}</p><p>{links}</p><p>{text}</p><p>{text}<a href=/x>one link</a></p></div>")
+    assert htmltext.main_text(page) == "\n\n".join(["Title", text.strip(), text.strip(), f"{text}one link"])
+    used = set()
+    walk = lambda n: isinstance(n, int) or (used.add(htmltext.FEATURES[n[0]]), walk(n[2]), walk(n[3]))
+    walk(htmltext.tree())
+    assert {"words", "density", "words_before", "density_after"} <= used
+
+
 def test_html_tree_fits_its_table():
     assert all(htmltext.classify(x) == y for x, y in htmltext.labelled())
 

@@ -1,27 +1,35 @@
-"""Benchmark decontamination: a BM25 inverted index of the test items, block-max pruning, and a check of question and answer.
+"""Benchmark decontamination: a BM25 inverted index of the test items, block-max WAND, and a check of question and answer.
 
 Test items are indexed once; every passage of every training document is a
 query. An item's weights are BM25's, divided by its own total, so that a score
 is the share of the item that the passage holds and one threshold fits all
-items. Items stand in blocks; for each term and block the largest weight is
-kept. A passage is two neighbouring half passages. The sum of its terms' block
-maxima bounds the score of every item of the block: only blocks whose bound
-reaches the threshold are scored (block-max WAND, evaluated for all passages of
-a document at once), by halves first and then exactly. All pairs above the threshold are then verified word by
-word: five-word shingles that item and passage share mark the item's words, and
-enough of the question and of the answer must be marked.
+items. Each term has a list of postings and, by block of items, the largest
+weight. A passage is two neighbouring half passages.
+
+A passage's terms are put in the order of their lists' largest weights. Up to the
+pivot, where the sum of these reaches the threshold, no item can be found by such
+terms alone, so only the lists from the pivot on are read. Their block maxima, with
+what the lists before the pivot can add at most, bound each block; then the block
+maxima of those lists too; blocks below the threshold are skipped (block-max WAND, for many
+passages at once), and the postings of the others are scored. All pairs at
+or above the threshold are then verified word by word: five-word shingles that
+item and passage share mark the item's words, and enough of the question and of
+the answer must be marked. Parts of similar length have lists of their own, as a
+word weighs more in a short item.
 
 An item has a question and an answer: columns of these names, or else the
 last sentence of `text` is the answer and what precedes it the question. Items
 longer than half a passage are indexed in parts.
 
-The index is broadcast in shards of at most INDEX_CELLS weights, so its size is
-bounded whatever the number of items; documents are read once a shard.
+Items are tokenised and document frequencies counted by Spark, and kept as tables.
+The index is broadcast in shards of about SHARD_WORDS words of items, one at a
+time; documents are read once a shard.
 
 Defined edge cases: null and empty texts hold nothing; an item without words is
 never found; with no items nothing is; an item of fewer than five words is one
-shingle; repeated rows of a doc_id count once in the result; other columns are
-ignored by scan() and kept by clean().
+shingle; different items under one item_id (null is one too) are each searched and
+give one row a document; repeated rows of a doc_id count once in the result; other
+columns are ignored by scan() and kept by clean().
 """
 
 from __future__ import annotations
@@ -35,11 +43,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import discard, materialize
+
 SHINGLE = 5
 #: Words of half a passage; passages overlap by half.
 HALF = 64
-#: Items of a block, and weights of a shard (terms x items).
-BLOCK, INDEX_CELLS = 8, 8_000_000
+#: Parts of a block, and words of the items of a shard.
+BLOCK, SHARD_WORDS = 8, 4_000_000
+#: Texts searched at once, and passages and list entries held at once.
+TEXTS, PASSAGES, ENTRIES = 64, 2_048, 4_000_000
 K1, B = 1.2, 0.75
 #: Share of an item's BM25 weight that a passage must hold to be verified.
 RETRIEVED = 0.5
@@ -72,104 +84,222 @@ def marked(item: list[str], passage: list[str]) -> np.ndarray:
     return out
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers starts[i] .. starts[i] + sizes[i] - 1 of all i, in order."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class Lists:
+    """Postings of some parts, sorted by term and part, with block maxima by term and block."""
+
+    def __init__(self, term: np.ndarray, part: np.ndarray, weight: np.ndarray, terms: int, parts: np.ndarray):
+        self.parts, self.blocks = parts, -(-len(parts) // BLOCK)
+        order = np.lexsort((part, term))
+        term, part, self.weight = term[order], part[order], weight[order]
+        self.key = term * len(parts) + part
+        in_block = term * self.blocks + part // BLOCK
+        starts = np.flatnonzero(np.r_[True, in_block[1:] != in_block[:-1]])
+        self.block_key, self.block_most = in_block[starts], np.maximum.reduceat(self.weight, starts)
+        self.begin = np.searchsorted(self.block_key, np.arange(terms + 1) * self.blocks)
+        self.most = np.zeros(terms)
+        np.maximum.at(self.most, term, self.weight)
+
+    @staticmethod
+    def _at(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        i = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[i] == wanted, values[i], 0.0)
+
+    def search(self, passage: np.ndarray, term: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(passages, parts) that reach the threshold, for different pairs of passage and term."""
+        least, most = RETRIEVED - 1e-6, self.most[term]
+        total = np.bincount(passage, most)
+        held = (most > 0) & (total[passage] >= least)
+        passage, term, most = passage[held], term[held], most[held]
+        if not len(term):
+            return
+        order = np.lexsort((most, passage))
+        passage, term, most = passage[order], term[order], most[order]
+        first = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
+        sums = np.cumsum(most)
+        sums -= np.repeat(sums[first] - most[first], np.diff(np.r_[first, len(term)]))
+        read = sums >= least  # from the pivot on
+        entries = np.cumsum(np.where(read, self.begin[term + 1] - self.begin[term], 0))
+        # slices of whole passages
+        at = 0
+        while at < len(first):
+            lo = first[at]
+            to = max(at + 1, int(np.searchsorted(entries[np.r_[first[1:], len(term)] - 1], (entries[lo - 1] if lo else 0) + ENTRIES, "right")))
+            hi = first[to] if to < len(first) else len(term)
+            yield self._slice(passage[lo:hi], term[lo:hi], most[lo:hi], read[lo:hi], least)
+            at = to
+
+    def _slice(self, passage, term, most, read, least):
+        names, passage = np.unique(passage, return_inverse=True)
+        sizes = self.begin[term[read] + 1] - self.begin[term[read]]
+        entry = _ranges(self.begin[term[read]], sizes)
+        pair, which = np.unique(np.repeat(passage[read], sizes) * self.blocks + self.block_key[entry] % self.blocks, return_inverse=True)
+        bound = np.bincount(which, self.block_most[entry], len(pair))
+        skipped = np.bincount(passage[~read], most[~read], len(names))
+        good = bound + skipped[pair // self.blocks] >= least
+        pair, bound = pair[good], bound[good]
+        # the block maxima of the lists before the pivot
+        pair, bound = self._add(pair, bound, self.blocks, passage[~read], term[~read], len(names), self.block_key, self.block_most, least)
+        if not len(pair):
+            return names[:0], self.parts[:0]
+        part = ((pair % self.blocks) * BLOCK)[:, None] + np.arange(BLOCK)
+        whole = (pair // self.blocks)[:, None] * len(self.parts) + part
+        whole = whole[part < len(self.parts)]
+        whole, _ = self._add(whole, np.zeros(len(whole)), len(self.parts), passage, term, len(names), self.key, self.weight, least)
+        return names[whole // len(self.parts)], self.parts[whole % len(self.parts)]
+
+    def _add(self, pair, score, width, passage, term, passages, keys, values, least):
+        """The pairs (passage * width + place) that reach the threshold when the values of their passage's terms there are added. `passage` is sorted."""
+        begin = np.searchsorted(passage, np.arange(passages + 1))
+        out = []
+        sizes = begin[pair // width + 1] - begin[pair // width]
+        ends = np.cumsum(sizes)
+        at = 0
+        while at < len(pair):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + ENTRIES, "right")))
+            p, n = pair[at:to], sizes[at:to]
+            t = term[_ranges(begin[p // width], n)]
+            which = np.repeat(np.arange(len(p)), n)
+            total = score[at:to] + np.bincount(which, self._at(keys, values, t * width + (p % width)[which]), len(p))
+            good = total >= least
+            out.append((p[good], total[good]))
+            at = to
+        return (np.concatenate([p for p, _ in out]), np.concatenate([x for _, x in out])) if out else (pair, score)
+
+
 class Index:
-    """A shard: dense weights by term and part, and their maxima by term and block."""
+    """A shard: the items as numbers of their terms, and postings of their parts."""
 
     def __init__(self, items: list[tuple[int, list[str], list[str]]], df: dict[str, int], n: int, mean: float):
-        self.items = items
-        self.parts = [(i, w[at : at + HALF]) for i, (_, q, a) in enumerate(items) for w in [q + a] for at in range(0, len(w), HALF)]
-        self.terms = {t: k for k, t in enumerate(sorted({t for _, p in self.parts for t in p}))}
-        blocks = -(-len(self.parts) // BLOCK)
-        weights = np.zeros((len(self.terms) + 1, blocks * BLOCK), np.float32)  # the last term is any other word
-        for j, (_, p) in enumerate(self.parts):
-            own = {t: np.log(1 + (n - df.get(t, 1) + 0.5) / (df.get(t, 1) + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(p) / mean)) for t, tf in Counter(p).items()}
-            total = sum(own.values())
-            for t, w in own.items():
-                weights[self.terms[t], j] = w / total
-        self.weights = weights.reshape(len(self.terms) + 1, blocks, BLOCK)
-        self.most = self.weights.max(2)
-
-    def search(self, ids: np.ndarray) -> list[tuple[int, int, float]]:
-        """(half, part, score) of every passage, by its first half, and part that reach the threshold."""
-        if not len(ids) or not len(self.parts):
-            return []
-        v = len(self.terms) + 1
-        pairs = np.unique(np.arange(len(ids)) // HALF * v + ids)
-        half, term = pairs // v, pairs % v
-        starts = np.flatnonzero(np.r_[True, half[1:] != half[:-1]])
-        over = lambda x: x[:-1] + x[1:] if len(x) > 1 else x  # of two halves; a term in both counts twice, so it's a bound
-        blocks = np.flatnonzero((over(np.add.reduceat(self.most[term], starts)) >= RETRIEVED - 1e-4).any(0))
-        if not len(blocks):
-            return []
-        ends = [*starts[1:], len(term)]
-        out = []
-        for w, b, k in zip(*np.nonzero(over(np.add.reduceat(self.weights[term[:, None], blocks], starts)) >= RETRIEVED - 1e-4), strict=True):
-            part = int(blocks[b]) * BLOCK + int(k)
-            own = np.unique(term[starts[w] : ends[min(w + 1, len(starts) - 1)]])
-            score = float(self.weights[own, blocks[b], k].sum())
-            if score >= RETRIEVED - 1e-4 and part < len(self.parts):
-                out.append((int(w), part, score))
-        return out
-
-    def find(self, text: str | None) -> dict[int, tuple[int, int, int]]:
-        """item_id -> (word at which the first verified passage begins, percent of the question, percent of the answer marked)."""
-        words = words_of(text)
-        get, other = self.terms.get, len(self.terms)
-        found: dict[int, tuple[int, int, int]] = {}
-        for w, part, _ in self.search(np.array([get(x, other) for x in words], np.int64)):
-            i = self.parts[part][0]
-            item_id, question, answer = self.items[i]
-            if item_id in found:
+        self.terms = {t: k for k, t in enumerate(sorted({t for _, q, a in items for t in (*q, *a)}))}
+        number = lambda words: [self.terms[t] for t in words]
+        self.items = [(i, number(q), number(a)) for i, q, a in items]
+        self.item_of: list[int] = []
+        found: list[tuple[int, np.ndarray, np.ndarray]] = []
+        names = list(self.terms)
+        for i, (_, q, a) in enumerate(self.items):
+            whole = q + a
+            for at in range(0, len(whole), HALF):
+                part = whole[at : at + HALF]
+                tf = Counter(part)
+                own = np.array([np.log(1 + (n - df.get(names[t], 1) + 0.5) / (df.get(names[t], 1) + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * len(part) / mean)) for t, f in tf.items()])
+                found.append((len(part), np.fromiter(tf, np.int64), own / own.sum()))
+                self.item_of.append(i)
+        self.lists = []
+        order = sorted(range(len(found)), key=lambda k: (found[k][0], k))
+        layer = lambda k: found[k][0].bit_length()
+        for size in sorted({layer(k) for k in order}):
+            parts = np.array([k for k in order if layer(k) == size])
+            term = np.concatenate([found[k][1] for k in parts])
+            place = np.repeat(np.arange(len(parts)), [len(found[k][1]) for k in parts])
+            self.lists.append(Lists(term, place, np.concatenate([found[k][2] for k in parts]), len(self.terms), parts))
+
+    def search(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
+        """(text, half, part) of each passage, by its first half, and part that reach the threshold. A text is an array of term numbers, -1 for other words."""
+        passages, begins, pairs = 0, [], []
+
+        def flush():
+            if pairs and self.lists:
+                p, t = np.divmod(np.unique(np.concatenate(pairs)), len(self.terms))
+                for lists in self.lists:
+                    for found, parts in lists.search(p, t):
+                        for x, part in zip(found.tolist(), parts.tolist(), strict=True):
+                            k = int(np.searchsorted([b for b, _, _ in begins], x, "right")) - 1
+                            yield begins[k][1], begins[k][2] + x - begins[k][0], part
+
+        for k, ids in enumerate(texts):
+            halves = -(-len(ids) // HALF)
+            for low in range(0, max(1, halves - 1), PASSAGES):  # passages low .. of this text
+                n = min(PASSAGES, max(1, halves - 1) - low)
+                if passages + n > PASSAGES and pairs:
+                    yield from flush()
+                    passages, begins, pairs = 0, [], []
+                own = ids[low * HALF : (low + n + 1) * HALF]
+                half = np.arange(len(own)) // HALF
+                known = own >= 0
+                for h in (half, half - 1):
+                    good = known & (h >= 0) & (h < n)
+                    pairs.append((passages + h[good]) * len(self.terms) + own[good])
+                begins.append((passages, k, low))
+                passages += n
+        yield from flush()
+
+    def find_all(self, texts: list[str | None]) -> list[dict[int, tuple[int, int, int]]]:
+        """Of each text: item_id -> (word at which the first verified passage begins, percent of the question, percent of the answer marked)."""
+        get = self.terms.get
+        words = [np.array([get(x, -1) for x in words_of(t)], np.int64) for t in texts]
+        found: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
+        for text, half, part in sorted(set(self.search(words))):
+            item_id, question, answer = self.items[self.item_of[part]]
+            if item_id in found[text]:
                 continue
             whole = question + answer
             around = len(whole) if len(whole) > HALF else 0  # of a long item the other parts stand near
-            at = max(0, w * HALF - around)
-            hit = marked(whole, words[at : (w + 2) * HALF + around])
+            at = max(0, half * HALF - around)
+            hit = marked(whole, words[text][at : (half + 2) * HALF + around].tolist())
             q = 100 * int(hit[: len(question)].sum()) // max(1, len(question))
             a = 100 * int(hit[len(question) :].sum()) // len(answer) if answer else 100
             if q >= QUESTION_PERCENT and a >= ANSWER_PERCENT:
-                found[item_id] = (w * HALF, q, a)
+                found[text][item_id] = (half * HALF, q, a)
         return found
 
+    def find(self, text: str | None) -> dict[int, tuple[int, int, int]]:
+        return self.find_all([text])[0]
+
+
+def _tokenised(both: bool):
+    """item_id, question, answer (words), parts, words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = [c.to_pylist() for c in batch.columns[1:]]
+            split = [(words_of(q), words_of(a)) for q, a in zip(*cols, strict=True)] if both else [question_answer(t) for t in cols[0]]
+            sizes = [len(q) + len(a) for q, a in split]
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *[pa.array([x[k] for x in split], pa.list_(pa.string())) for k in (0, 1)], pa.array([-(-n // HALF) for n in sizes], pa.int64()), pa.array(sizes, pa.int64())], ["item_id", "question", "answer", "parts", "words"])
+
+    return run
+
 
 def indexes(items: DataFrame) -> Iterator[Index]:
-    """The shards of the index. Items are read in blocks of a bounded number of characters; statistics are of all items."""
-    both = {"question", "answer"} <= set(items.columns)
-    cols = ["question", "answer"] if both else ["text"]
-    chars = sum((F.length(F.coalesce(c, F.lit(""))) for c in map(F.col, cols)), F.lit(0))
-    total, n = items.agg(F.coalesce(F.sum(chars), F.lit(0)), F.count("*")).first()
-    if not n:
+    """The shards of the index, with statistics of all items."""
+    cols = ["question", "answer"] if {"question", "answer"} <= set(items.columns) else ["text"]
+    table = items.select("item_id", *cols).mapInArrow(_tokenised(len(cols) == 2), "item_id long, question array<string>, answer array<string>, parts long, words long").where("words > 0")
+    table = materialize(table, "benchmark-items")
+    parts, length = table.agg(F.coalesce(F.sum("parts"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    if not parts:
+        discard(table)
         return
-    per_shard = max(BLOCK, int((INDEX_CELLS / max(1, total / n / 3)) ** 0.5))  # a shard of k items has up to k * (words an item) terms
-    shards = -(-n // per_shard)
-    if shards == 1:
-        parts = [items.select("item_id", *cols)]
-    else:
-        parts = [items.select("item_id", *cols).where(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == k) for k in range(shards)]
-    split = lambda r: (words_of(r[1]), words_of(r[2])) if both else question_answer(r[1])
-    # document frequencies of all parts of all items, shard by shard
-    df: Counter[str] = Counter()
-    count = length = 0
-    for p in parts:
-        for r in p.toLocalIterator():
-            w = sum(split(r), [])
-            for at in range(0, len(w), HALF):
-                df.update(set(w[at : at + HALF]))
-                count, length = count + 1, length + len(w[at : at + HALF])
-    for p in parts:
-        rows = sorted(((r[0], *split(r)) for r in p.toLocalIterator()), key=lambda r: (r[0] is None, r[0]))
-        yield Index([r for r in rows if r[1] or r[2]], df, count, length / max(1, count))
+    shards = -(-length // SHARD_WORDS)
+    table = table.withColumn("shard", F.pmod(F.xxhash64("item_id", "question", "answer"), F.lit(shards)))
+    part = F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda k: F.array_distinct(F.slice(F.concat("question", "answer"), (k * HALF + 1).cast("int"), HALF))))
+    terms = table.select("shard", part.alias("t")).select("shard", F.explode("t").alias("term")).groupBy("shard", "term").agg(F.count("*").alias("n"))
+    terms = materialize(terms, "benchmark-terms")
+    df = terms.groupBy("term").agg(F.sum("n").alias("df"))
+    for k in range(shards):  # of a bounded size each
+        own = terms.where(F.col("shard") == k).select("term").join(df, "term").toArrow()
+        rows = table.where(F.col("shard") == k).select("item_id", "question", "answer").collect()
+        rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1], r[2]))
+        yield Index([tuple(r) for r in rows], dict(zip(own["term"].to_pylist(), own["df"].to_pylist(), strict=True)), parts, length / parts)
+    discard(table, terms)
 
 
 FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("at_word", pa.int64()), ("question_percent", pa.int64()), ("answer_percent", pa.int64())])
+ROWS = "doc_id long, item_id long, at_word long, question_percent long, answer_percent long"
 
 
 def _scan(index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(d, i, *x) for d, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True) for i, x in index.value.find(t.as_py()).items()]
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=FOUND)
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                rows = [(d, i, *x) for d, found in zip(part.column(0).to_pylist(), index.value.find_all(part.column(1).to_pylist()), strict=True) for i, x in found.items()]
+                columns = list(zip(*rows, strict=True)) or [[]] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=FOUND)
 
     return run
 
@@ -178,23 +308,31 @@ def scan(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, at_word, question_percent, answer_percent for each document and item that it holds."""
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out = spark.createDataFrame([], "doc_id long, item_id long, at_word long, question_percent long, answer_percent long")
+    out = spark.createDataFrame([], ROWS)
     for index in indexes(items):
         shared = spark.sparkContext.broadcast(index)
-        out = out.unionByName(d.mapInArrow(_scan(shared), "doc_id long, item_id long, at_word long, question_percent long, answer_percent long"))
+        out = out.unionByName(materialize(d.mapInArrow(_scan(shared), ROWS), "benchmark-found"))
+        shared.unpersist()
     return out.groupBy("doc_id", "item_id").agg(F.min(F.struct("at_word", "question_percent", "answer_percent")).alias("x")).select("doc_id", "item_id", "x.*")
 
 
 def _clean(index, column: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([not index.value.find(t.as_py()) for t in batch.column(column)], pa.bool_()))
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                yield part.filter(pa.array([not found for found in index.value.find_all(part.column(column).to_pylist())], pa.bool_()))
 
     return run
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs that hold no item, all columns; no shuffle."""
+    last = None
     for index in indexes(items):
-        docs = docs.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(index), docs.columns.index("text")), docs.schema)
+        if last:  # one shard is held at a time
+            docs = materialize(docs, "benchmark-clean")
+            last.unpersist()
+        last = docs.sparkSession.sparkContext.broadcast(index)
+        docs = docs.mapInArrow(_clean(last, docs.columns.index("text")), docs.schema)
     return docs

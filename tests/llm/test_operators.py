@@ -91,6 +91,38 @@ def test_decontamination(spark):
     assert decontam.scan(d, items.limit(0)).collect() == [] and decontam.scan(d.limit(0), items).collect() == []
 
 
+def test_decontamination_of_shards_is_brute_force(spark, monkeypatch):
+    rng = random.Random(16)
+    vocabulary = prose(rng, 300).split()
+    say = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    texts = [f"{say(rng.randint(8, 120))}. {say(rng.randint(1, 9))}." for _ in range(60)]
+    table = [(k % 50, t) for k, t in enumerate(texts)] + [(None, texts[3]), (7, None), (8, "")]
+    found = []
+    for k in range(120):
+        words = f"{say(rng.randint(0, 300))} {texts[rng.randrange(60)]} {say(rng.randint(0, 200))}".split()
+        for _ in range(k % 5):
+            words[rng.randrange(len(words))] = "edited"
+        found.append((k, " ".join(words)))
+    found.append((200, f"{say(100_000)} {texts[5]} {say(1000)}"))
+    want = set()
+    for d, t in found:
+        words = decontam.words_of(t)
+        for i, x in table:
+            q, a = decontam.question_answer(x)
+            for at in [*range(0, max(1, len(words) - decontam.HALF), decontam.HALF)] if d < 200 else [100_000 // 64 * 64 - 64, 100_000 // 64 * 64]:
+                wide = len(q + a) if len(q + a) > decontam.HALF else 0
+                m = decontam.marked(q + a, words[max(0, at - wide) : at + 2 * decontam.HALF + wide])
+                if q and 100 * m[: len(q)].sum() // len(q) >= decontam.QUESTION_PERCENT and (not a or 100 * m[len(q) :].sum() // len(a) >= decontam.ANSWER_PERCENT):
+                    want.add((d, i))
+    items, d = spark.createDataFrame(table, "item_id long, text string"), docs(spark, *found)
+    assert len(want) > 100 and set(rows(decontam.scan(d, items), "doc_id", "item_id")) == want
+    monkeypatch.setattr(decontam, "SHARD_WORDS", 1000)
+    monkeypatch.setattr(decontam, "ENTRIES", 50)
+    assert len(list(decontam.indexes(items))) == 5
+    assert set(rows(decontam.scan(d, items), "doc_id", "item_id")) == want
+    assert set(rows(decontam.clean(d, items), "doc_id")) == {(i,) for i, _ in found} - {(i,) for i, _ in want}
+
+
 def test_licenses(spark):
     rng = random.Random(3)
     mit = licenses.TEMPLATES[9][1]

@@ -133,6 +133,16 @@ def test_licenses(spark):
     assert licenses.scan(d, licenses.templates(spark).limit(0)).collect() == []
 
 
+def test_licenses_full_texts_and_long_documents(spark, monkeypatch):
+    rng = random.Random(17)
+    bsd, isc = (next(x for i, x in licenses.TEMPLATES if i == k) for k in ("bsd-3-clause", "isc"))
+    d = docs(spark, (1, f"{prose(rng, 60_000)}\n{bsd}\n{prose(rng, 500)}"), (2, isc.replace("fee", "charge")), (3, prose(rng, 400)))
+    want = [(1, "bsd-2-clause"), (1, "bsd-3-clause"), (1, "bsd-redistribution"), (2, "0bsd"), (2, "isc")]
+    assert rows(licenses.scan(d, licenses.templates(spark)), "doc_id", "license_id") == want
+    monkeypatch.setattr(licenses, "LITERALS", 10)
+    assert rows(licenses.scan(d.where("doc_id > 1"), licenses.templates(spark)), "doc_id", "license_id") == want[3:]
+
+
 def test_html(spark):
     d = spark.createDataFrame([(1, "u", "<article><p>a  b</p></article>", "d", "t"), (1, "u", "<article><p>a  b</p></article>", "d", "t"), (None, None, None, "d", "t"), (3, "v", "", None, None)], PAGES)
     assert rows(htmltext.extract(d), "page_id", "url", "text", "n_chars") == [(1, "u", "a b", 3), (1, "u", "a b", 3), (3, "v", "", 0), (None, None, "", 0)]

@@ -56,8 +56,8 @@ SHINGLE = 3
 PERCENT = 90
 #: Growth of the size classes, and the hash functions tried before empty groups count.
 CLASS_GROWTH, ROUNDS = 1.35, 4
-#: Groups of the count vectors, documents of an R-tree block, and children of a node.
-GROUPS, BLOCK, FANOUT = 64, 512, 16
+#: Groups of the count vectors, shingles of the documents of an R-tree block, and children of a node.
+GROUPS, BLOCK, FANOUT = 64, 2_000_000, 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -272,10 +272,10 @@ def links(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> tuple
     held = materialize(read.join(wanted, ["a", "b"]).select(F.col("rep").alias("doc_id"), "s"), "ngram-sets")
     both = F.size(F.array_intersect("s", "t"))
     judged = pairs.join(held.withColumnRenamed("doc_id", "rep"), "rep").join(held.select(F.col("doc_id").alias("pivot"), F.col("s").alias("t")), "pivot")
-    judged = materialize(judged.select("rep", "pivot", (100 * both >= percent * (F.size("s") + F.size("t") - both)).alias("linked")), "ngram-judged")
+    judged = materialize(judged.select("rep", "pivot", F.size("s").alias("n"), (100 * both >= percent * (F.size("s") + F.size("t") - both)).alias("linked")), "ngram-judged")
     star = judged.where("linked").select(F.col("rep").alias("x"), F.col("pivot").alias("y"))
     left = judged.where(~F.col("linked"))
-    blocks = judged.groupBy("pivot").agg(F.count("*").alias("m"), F.count_if(~F.col("linked")).alias("f")).where("f > 0 and m > 1").withColumn("blocks", F.ceil(F.col("m") / BLOCK)).withColumn("asking", F.ceil(F.col("f") / BLOCK))
+    blocks = judged.groupBy("pivot").agg(F.count("*").alias("rows"), F.sum("n").alias("m"), F.sum(F.when(~F.col("linked"), F.col("n")).otherwise(0)).alias("f")).where("f > 0 and rows > 1").withColumn("blocks", F.ceil(F.col("m") / BLOCK)).withColumn("asking", F.ceil(F.col("f") / BLOCK))
     blocks = materialize(blocks.select("pivot", "blocks", "asking"), "ngram-blocks")
     part = lambda n: F.pmod(F.xxhash64("rep"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))

@@ -118,13 +118,7 @@ def prepared(c: Column, name: bool) -> list[Column]:
 
 
 def romanize(df: DataFrame, col: str, out: str) -> DataFrame:
-    """df with `out`: the normalised text, transliterated to ASCII where it isn't.
-
-    Only distinct non-ASCII strings are transliterated, each once, by ICU on the
-    executors through a JVM function registered under `romanize_icu` where the
-    session has one; else the marks of Latin letters are folded and letters of
-    other scripts are kept.
-    """
+    """df with `out`: the normalised text; where it isn't ASCII, marks of Latin letters are folded. Letters of other scripts are kept; romanize_texts() transliterates bounded lists."""
     n = F.col(col)
     folded = fold_diacritics(n)
     for a, b in (("ß", "ss"), ("æ", "ae"), ("œ", "oe"), ("ø", "o"), ("đ", "d"), ("ł", "l"), ("þ", "th"), ("ð", "d"), ("ı", "i")):

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Bits of the provenance mask, in the order in which branches claim a hit.
+#: The bit of each branch in a mask.
 BITS = {"name_char": 1, "name_word": 2, "address_char": 4, "name_exact": 8, "number_block": 16}
 SPARSE = ("name_char", "name_word", "address_char")
 
@@ -50,6 +51,19 @@ def union(sparse: dict[str, DataFrame], exact_pairs: DataFrame) -> DataFrame:
     return every.groupBy("query_id", "target_code").agg(F.bit_or("mask").alias("mask"), *[F.max(f"{x}_{c}").alias(f"{x}_{c}") for x in ("score", "rank") for c in SPARSE])
 
 
+def check(candidates: DataFrame, anchors: DataFrame, targets: DataFrame) -> None:
+    """Raises on null or repeated pairs, and on ids that aren't in anchors (entity_id) or targets (target_code)."""
+    bad = {
+        "a pair has a null id": candidates.where("query_id is null or target_code is null"),
+        "a pair occurs twice": candidates.groupBy("query_id", "target_code").count().where("count > 1"),
+        "an anchor is unknown": candidates.join(anchors.select(F.col("entity_id").alias("query_id")), "query_id", "left_anti"),
+        "a target is unknown": candidates.join(targets.select("target_code"), "target_code", "left_anti"),
+    }
+    for what, rows in bad.items():
+        if not rows.isEmpty():
+            raise ValueError(what)
+
+
 def label(candidates: DataFrame, truth: DataFrame) -> DataFrame:
     """candidates with label. truth: s1_id, target_code."""
     t = truth.select(F.col("s1_id").alias("query_id"), "target_code", F.lit(1).alias("_t"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import similarity as sim
 from ..functions import text
 
+#: Percentiles and edges of score bins.
 QUANTILES = (0, 1, 5, 10, 25, 50, 75, 90, 95, 99, 100)
 SCORE_EDGES = (0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99, 1.00001)
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import features
 
 TRUSTED, KEPT, USED = 0.95, 4, 3
+#: The roles of a score, and names of columns in contractual order.
 ROLES = ("out_of_fold_train", "frozen_calibration", "frozen_validation", "frozen_inference")
 CONTEXT = ("candidate_score", "support_count", "source2_support_count", "source3_support_count", "support_source_diversity", "same_source_support_count", "cross_source_support_count", "max_support_score", "mean_support_score", "score_margin")
 COMPARED = (*features.ADVANCED[:38], *(f"{f}_{x}" for f in ("name", "address") for x in ("exact", "folded_exact", "token_jaccard", "token_containment", "edit_similarity", "numbers_equal", "numbers_overlap", "numbers_jaccard")), "country_equal")

@@ -91,7 +91,8 @@ ABOVE_ONE = 1.0000000000000002
 
 
 def decide(pairs: DataFrame, truth: DataFrame) -> dict:
-    """The threshold: a coarse grid, then a fine one around its best level."""
+    """The threshold: a coarse grid, then a fine one around its best level. Raises where check() does."""
+    check(pairs, truth)
     coarse = [0.0, 1.0, ABOVE_ONE, *(round(0.05 + 0.01 * i, 2) for i in range(95))]
     best = select(sweep(pairs, truth, coarse)).first()
     around = [x for i in range(-20, 21) if 0 <= (x := round(best.threshold + 0.001 * i, 3)) <= 1]

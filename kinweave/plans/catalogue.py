@@ -482,8 +482,11 @@ def pair_actual_cosine(spark, d):
 def pair_base_features(spark, d):
     p = _prepared(spark, d)
     pairs = _labelled(spark, d)
+    pairs = pairs.withColumn("target_id", text.decode_target(F.col("target_code")))
     for c in features.COSINES:
-        pairs = pairs.withColumn(c, F.lit(0.0))
+        branch = next(b for b in cnd.SPARSE if b in c)
+        pairs = tfidf.cosine(pairs, *_sides(_weights(spark, d, branch, CHAR_MAX_DF if "char" in branch else 0.2)), c)
+    pairs = pairs.drop("target_id")
     return features.base(features.paired(pairs, p.where("source = 1"), p.where("source > 1")), Q)
 
 

@@ -2,7 +2,7 @@ import zipfile
 
 import pytest
 
-from kinweave.operators import models
+from kinweave.operators import candidates, models, validate
 from kinweave.plans import lifecycle
 from kinweave.sources import records, sinks
 
@@ -59,3 +59,28 @@ def test_grouped_lists_are_in_code_order(spark):
     a = spark.createDataFrame([("S1-1", 1), ("S1-2", 2)], "entity_id string, num long")
     p = spark.createDataFrame([("S1-1", 3 * 10**12), ("S1-1", 2 * 10**12 + 10), ("S1-1", 2 * 10**12 + 9)], "s1_id string, target_code long")
     assert {r.source1_entity_id: r.m for r in sinks.grouped(a, p, "m").collect()} == {"S1-1": "S2-9,S2-10,S3-0", "S1-2": ""}
+
+
+def test_results_are_one_file_that_validates(spark, tmp_path):
+    anchors = spark.createDataFrame([(f"S1-{i}", i, "US") for i in range(50)], "entity_id string, num long, country string")
+    scored = spark.createDataFrame([(f"S1-{i}", 2 * 10**12 + i, 0.9 if i % 2 else 0.1) for i in range(50)], "s1_id string, target_code long, score double")
+    sinks.write_results(anchors.repartition(7), scored, 0.5, str(tmp_path / "r"))
+    for name, pairs in (("matching_results", 25), ("candidate_pairs", 50)):
+        files = [p for p in (tmp_path / "r" / name).iterdir() if not p.name.startswith(".")]
+        lines = files[0].read_text().splitlines()
+        assert len(files) == 1 and lines[0].startswith("source1_entity_id\t") and [x.split("\t")[0] for x in lines[1:]] == [f"S1-{i}" for i in range(50)]
+        assert sum("S2-" in x for x in lines) == pairs
+    for s in (1, 2, 3):
+        (tmp_path / f"{s}.tsv").write_text("\n".join([HEAD, *(f"S{s}-{i}\tname\taddress\tUS" for i in range(50))]) + "\n")
+    files = [str(tmp_path / "r" / n / f"{n}.tsv") for n in ("matching_results", "candidate_pairs")]
+    assert validate.main([*files, *(str(tmp_path / f"{s}.tsv") for s in (1, 2, 3))]) == 0
+
+
+def test_candidates_are_checked(spark):
+    anchors = spark.createDataFrame([("S1-1",)], "entity_id string")
+    targets = spark.createDataFrame([(1,), (2,)], "target_code long")
+    pairs = lambda *rows: spark.createDataFrame(rows, "query_id string, target_code long")
+    candidates.check(pairs(("S1-1", 1), ("S1-1", 2)), anchors, targets)
+    for bad, what in (((("S1-1", 1), ("S1-1", 1)), "twice"), ((("S1-2", 1),), "anchor"), ((("S1-1", 3),), "target"), (((None, 1),), "null")):
+        with pytest.raises(ValueError, match=what):
+            candidates.check(pairs(*bad), anchors, targets)

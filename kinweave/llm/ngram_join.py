@@ -17,15 +17,19 @@ also say which documents must be compared at all:
    them with each partner. One with fewer gets the keys of another hash function
    as well (of the last one, the empty groups too), so that no link is lost.
 3. The documents of a key form a cell, with its smallest document as the pivot.
-   Each (document, pivot) is verified once, whatever the number of its keys.
+   Each (document, pivot) is judged once, whatever the number of its keys: by the
+   bound of their points, then, if it allows a link, by their sets.
 4. A document that isn't linked to a pivot may be linked to others of its cells.
-   It is compared with all documents of that pivot: blocks of them are R-trees,
-   searched by the bound; pairs that pass are verified in the task, unless they
-   are connected already.
+   It is compared with all documents of that pivot: blocks of points are R-trees,
+   searched by the bound. Documents that no other can be linked to go (nearly all
+   of those that share no more than a passage). The sets of the rest are searched
+   in the same way; pairs that pass are verified in the task, unless they are
+   connected already.
 
 Documents that are both linked to the pivot are connected by it, so that a group
 of n copies gives n links, not n^2. Cells are never collected: pivots are
-minima, which combine before the shuffle, and blocks have a fixed size.
+minima, which combine before the shuffle, and blocks have a fixed size. Sets are
+read for documents that may be linked, all else moves points of 64 counts.
 
 Sets are of 64-bit hashes. Defined edge cases: null and blank texts have empty
 sets and link with nothing, not even each other; a text of fewer words than a
@@ -56,8 +60,8 @@ SHINGLE = 3
 PERCENT = 90
 #: Growth of the size classes, and the hash functions tried before empty groups count.
 CLASS_GROWTH, ROUNDS = 1.35, 4
-#: Groups of the count vectors, shingles of the documents of an R-tree block, and children of a node.
-GROUPS, BLOCK, FANOUT = 64, 2_000_000, 16
+#: Groups of the count vectors, documents of an R-tree block of points, shingles of those of a block of sets, and children of a node.
+GROUPS, POINTS, BLOCK, FANOUT = 64, 16_384, 2_000_000, 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -164,13 +168,13 @@ def _sets(size: int):
 
 
 def _classes(size: int, percent: int):
-    """doc_id, key, n_shingles, class (a 128-bit digest of the set in two numbers), keys."""
+    """doc_id, key, n_shingles, class (a 128-bit digest of the set in two numbers), keys, point."""
     limits = _limits(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in batches:
-            ns, a, b, found = [], [], [], []
+            ns, a, b, found, points = [], [], [], [], []
             for t in batch.column(2):
                 s = shingle_set(t.as_py(), hashes, size)
                 digest = _digest(s)
@@ -178,9 +182,10 @@ def _classes(size: int, percent: int):
                 a.append(digest[0])
                 b.append(digest[1])
                 found.append(keys(s, percent, limits).view(np.int64) if len(s) else np.empty(0, np.int64))
+                points.append(counts(s).tobytes())
             offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
             flat = np.concatenate(found) if found else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ns, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "key", "n", "a", "b", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ns, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(points, pa.binary())], ["doc_id", "key", "n", "a", "b", "keys", "point"])
 
     return run
 
@@ -190,6 +195,23 @@ def counts(s: np.ndarray) -> np.ndarray:
     return np.bincount((_mix(s) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.int32)
 
 
+def _points(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.int32).reshape(-1, GROUPS)
+
+
+def _bounded(percent: int):
+    """rep, pivot, n, point of each pair, and may: whether the bound allows the link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bound = np.minimum(_points(batch.column("point")), _points(batch.column("other"))).sum(1, dtype=np.int64)
+            n = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+            may = (100 + percent) * bound >= percent * n
+            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("pivot"), batch.column("n"), batch.column("point"), pa.array(may)], ["rep", "pivot", "n", "point", "may"])
+
+    return run
+
+
 class RTree:
     """Points packed in the order of their size and first coordinates, with the largest coordinates (and sizes) of each node."""
 
@@ -223,6 +245,35 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def _survivors(percent: int):
+    """Of one block of a pivot's points: the documents that ask and have another they may be linked to, and those others."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        own = table.filter(pc.invert(table["asks"]))
+        asking = table.filter(table["asks"])
+        ids = own["rep"].to_numpy()
+        tree, hit, found = RTree(_points(own["point"])), np.zeros(len(ids), bool), []
+        for rep, point in zip(asking["rep"].to_numpy(), _points(asking["point"]), strict=True):
+            at = tree.search(point, percent)
+            at = at[ids[at] != rep]
+            if len(at):
+                hit[at] = True
+                found.append(rep)
+        reps = np.union1d(ids[hit], np.array(found, np.int64))
+        return pa.table({"pivot": pa.array([key[0].as_py()] * len(reps), pa.int64()), "rep": pa.array(reps, pa.int64())})
+
+    return run
+
+
+def _blocks(own: DataFrame, asking: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The rows of own and asking for each pair of a block of the one and a block of the other, by the pivot's numbers of blocks."""
+    part = lambda n: F.pmod(F.xxhash64("rep"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    own = own.join(blocks, "pivot").withColumn("block", part("blocks")).withColumn("ask", every("asking")).withColumn("asks", F.lit(False))
+    asking = asking.join(blocks, "pivot").withColumn("block", every("blocks")).withColumn("ask", part("asking")).withColumn("asks", F.lit(True))
+    return own.unionByName(asking).drop("blocks", "asking")
+
+
 def _search(percent: int):
     """Of one block of a pivot's documents: links of those that aren't linked to the pivot. Connected pairs are not verified again."""
 
@@ -254,42 +305,56 @@ def _search(percent: int):
 def links(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members, classes, links): doc_id, key (of the text), n_shingles, a, b for each row of docs; a, b, rep (a number for each set that isn't empty) and first (its smallest doc_id); and x, y, links between reps that connect all that are linked."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("key"), F.col("text"))
-    found = materialize(d.mapInArrow(_classes(size, percent), "doc_id long, key string, n long, a long, b long, keys array<long>"), "ngram-documents")
+    found = materialize(d.mapInArrow(_classes(size, percent), "doc_id long, key string, n long, a long, b long, keys array<long>, point binary"), "ngram-documents")
     members = materialize(found.select("doc_id", "key", F.col("n").alias("n_shingles"), "a", "b"), "ngram-members")
     # the number is a surrogate: one doc_id may have several texts, and null is no key
-    sets = materialize(found.where("n > 0").groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.first("keys").alias("keys")).withColumn("rep", F.monotonically_increasing_id()), "ngram-classes")
+    sets = found.where("n > 0").groupBy("a", "b").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("point").alias("point"))
+    sets = materialize(sets.withColumn("rep", F.monotonically_increasing_id()), "ngram-classes")
     discard(found)
     classes = materialize(sets.select("a", "b", "rep", "first"), "ngram-reps")
     cells = sets.select("rep", F.explode("keys").alias("key"))
     pivots = cells.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("m")).where("m > 1").drop("m")
     pairs = materialize(cells.join(pivots, "key").where("rep <> pivot").select("rep", "pivot").distinct(), "ngram-pairs")
-    discard(sets)
-    wanted = pairs.select("rep").union(pairs.select(F.col("pivot").alias("rep"))).distinct()
+    points = pairs.join(sets.select("rep", "n", "point"), "rep").join(sets.select(F.col("rep").alias("pivot"), F.col("n").alias("m"), F.col("point").alias("other")), "pivot")
+    bounded = materialize(points.mapInArrow(_bounded(percent), "rep long, pivot long, n long, point binary, may boolean"), "ngram-bounded")
+    discard(sets, pairs)
+    near = bounded.where("may").select("pivot", "rep")
+    # of those that the bound keeps from their pivot: which may be linked to others of it
+    blocks = bounded.groupBy("pivot").agg(F.count("*").alias("rows"), F.count_if(~F.col("may")).alias("f")).where("f > 0 and rows > 1")
+    blocks = blocks.select("pivot", F.ceil(F.col("rows") / POINTS).alias("blocks"), F.ceil(F.col("f") / POINTS).alias("asking"))
+    points = _blocks(bounded.select("pivot", "rep", "point"), bounded.where("not may").select("pivot", "rep", "point"), blocks)
+    further = points.groupBy("pivot", "block", "ask").applyInArrow(_survivors(percent), "pivot long, rep long")
+    left = materialize(near.union(further).distinct().join(bounded, ["pivot", "rep"]).select("pivot", "rep", "n", "may"), "ngram-left")
+    discard(bounded)
+    wanted = left.select("rep").union(left.where("may").select("pivot")).distinct()
     wanted = materialize(classes.join(wanted, "rep"), "ngram-wanted")
-    # the sets of documents that share a cell with another, once more from their texts; of a doc_id there may be other texts too
+    # the sets of documents that may be linked to another, once more from their texts; of a doc_id there may be other texts too
     asked = d.where("doc_id is null").unionByName(d.join(wanted.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi"))
     read = asked.select("text").mapInArrow(_sets(size), "a long, b long, s array<long>").dropDuplicates(["a", "b"])
-    held = materialize(read.join(wanted, ["a", "b"]).select(F.col("rep").alias("doc_id"), "s"), "ngram-sets")
+    held = materialize(read.join(wanted, ["a", "b"]).select("rep", "s"), "ngram-sets")
+    discard(wanted)
     both = F.size(F.array_intersect("s", "t"))
-    judged = pairs.join(held.withColumnRenamed("doc_id", "rep"), "rep").join(held.select(F.col("doc_id").alias("pivot"), F.col("s").alias("t")), "pivot")
-    judged = materialize(judged.select("rep", "pivot", F.size("s").alias("n"), (100 * both >= percent * (F.size("s") + F.size("t") - both)).alias("linked")), "ngram-judged")
-    star = judged.where("linked").select(F.col("rep").alias("x"), F.col("pivot").alias("y"))
-    left = judged.where(~F.col("linked"))
-    blocks = judged.groupBy("pivot").agg(F.count("*").alias("rows"), F.sum("n").alias("m"), F.sum(F.when(~F.col("linked"), F.col("n")).otherwise(0)).alias("f")).where("f > 0 and rows > 1").withColumn("blocks", F.ceil(F.col("m") / BLOCK)).withColumn("asking", F.ceil(F.col("f") / BLOCK))
-    blocks = materialize(blocks.select("pivot", "blocks", "asking"), "ngram-blocks")
-    part = lambda n: F.pmod(F.xxhash64("rep"), F.col(n))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    own = judged.join(blocks, "pivot").select("pivot", part("blocks").alias("block"), every("asking").alias("ask"), "rep", F.lit(False).alias("asks"))
-    asking = left.join(blocks, "pivot").select("pivot", every("blocks").alias("block"), part("asking").alias("ask"), "rep", F.lit(True).alias("asks"))
-    searched = own.union(asking).join(held.withColumnRenamed("doc_id", "rep"), "rep").select("pivot", "block", "ask", F.col("rep").alias("doc_id"), "asks", "s")
+    star = left.where("may").select("rep", "pivot").join(held, "rep").join(held.select(F.col("rep").alias("pivot"), F.col("s").alias("t")), "pivot")
+    star = materialize(star.where(100 * both >= percent * (F.size("s") + F.size("t") - both)).select("rep", "pivot"), "ngram-star")
+    judged = materialize(left.join(star.withColumn("linked", F.lit(True)), ["rep", "pivot"], "left").select("pivot", "rep", "n", F.col("linked").isNull().alias("asks")), "ngram-judged")
+    discard(left)
+    blocks = judged.groupBy("pivot").agg(F.count("*").alias("rows"), F.sum("n").alias("m"), F.sum(F.when(F.col("asks"), F.col("n"))).alias("f")).where("f > 0 and rows > 1")
+    blocks = blocks.select("pivot", F.ceil(F.col("m") / BLOCK).alias("blocks"), F.ceil(F.col("f") / BLOCK).alias("asking"))
+    searched = _blocks(judged.select("pivot", "rep"), judged.where("asks").select("pivot", "rep"), blocks).join(held, "rep").select("pivot", "block", "ask", F.col("rep").alias("doc_id"), "asks", "s")
     further = searched.groupBy("pivot", "block", "ask").applyInArrow(_search(percent), "x long, y long")
-    out = materialize(star.union(further).distinct(), "ngram-links")
+    out = materialize(star.select(F.col("rep").alias("x"), F.col("pivot").alias("y")).union(further).distinct(), "ngram-links")
+    discard(held, star, judged)
     return members, classes, out
 
 
 def connected(edges: DataFrame) -> DataFrame:
-    """node, label: the smallest node of each component of the links x, y. Labels spread to neighbours and then jump to their label's label, which halves distances."""
-    both = materialize(edges.select("x", "y").union(edges.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "links")
+    """node, label: the smallest node of each component of the links x, y. First each node's smaller neighbours are linked to the smallest of them, which leaves few more links than nodes; then labels spread to neighbours and jump to their label's label, which halves distances."""
+    down = edges.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y"))
+    # a node's smaller neighbours are linked to the smallest of them instead of all to the node
+    stars = down.join(down.groupBy("x").agg(F.min("y").alias("least")), "x")
+    fewer = stars.select("x", F.col("least").alias("y")).union(stars.select(F.col("y").alias("x"), F.col("least").alias("y"))).distinct()
+    fewer = materialize(fewer.where("x <> y"), "links")
+    both = fewer.union(fewer.select("y", "x"))
     labels = materialize(both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.min("x")).alias("label")), "labels")
     while True:
         told = both.join(labels.withColumnRenamed("node", "y"), "y").select(F.col("x").alias("node"), "label").union(labels).groupBy("node").agg(F.min("label").alias("label"))
@@ -299,7 +364,7 @@ def connected(edges: DataFrame) -> DataFrame:
         discard(labels)
         labels = new
         if same:
-            discard(both)
+            discard(fewer)
             return labels
 
 

@@ -29,7 +29,7 @@ also say which documents must be compared at all:
 Documents that are both linked to the pivot are connected by it, so that a group
 of n copies gives n links, not n^2. Cells are never collected: pivots are
 minima, which combine before the shuffle, and blocks have a fixed size. Sets are
-read for documents that may be linked, all else moves points of 64 counts.
+read for documents that may be linked, all else moves points of 256 counts.
 
 Sets are of 64-bit hashes. Defined edge cases: null and blank texts have empty
 sets and link with nothing, not even each other; a text of fewer words than a
@@ -61,7 +61,7 @@ PERCENT = 90
 #: Growth of the size classes, and the hash functions tried before empty groups count.
 CLASS_GROWTH, ROUNDS = 1.35, 4
 #: Groups of the count vectors, documents of an R-tree block of points, shingles of those of a block of sets, and children of a node.
-GROUPS, POINTS, BLOCK, FANOUT = 64, 16_384, 2_000_000, 16
+GROUPS, POINTS, BLOCK, FANOUT = 256, 16_384, 2_000_000, 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -274,6 +274,12 @@ def _blocks(own: DataFrame, asking: DataFrame, blocks: DataFrame) -> DataFrame:
     return own.unionByName(asking).drop("blocks", "asking")
 
 
+def _by_block(df: DataFrame, run, schema: str) -> DataFrame:
+    """run for each pair of blocks. The rows are dealt by all three keys: rows that a join has dealt by their pivot would count as grouped, and all blocks of a common pivot would stay in one task."""
+    keys = ["pivot", "block", "ask"]
+    return df.repartition(*keys).groupBy(*keys).applyInArrow(run, schema)
+
+
 def _search(percent: int):
     """Of one block of a pivot's documents: links of those that aren't linked to the pivot. Connected pairs are not verified again."""
 
@@ -323,7 +329,7 @@ def links(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> tuple
     blocks = bounded.groupBy("pivot").agg(F.count("*").alias("rows"), F.count_if(~F.col("may")).alias("f")).where("f > 0 and rows > 1")
     blocks = blocks.select("pivot", F.ceil(F.col("rows") / POINTS).alias("blocks"), F.ceil(F.col("f") / POINTS).alias("asking"))
     points = _blocks(bounded.select("pivot", "rep", "point"), bounded.where("not may").select("pivot", "rep", "point"), blocks)
-    further = points.groupBy("pivot", "block", "ask").applyInArrow(_survivors(percent), "pivot long, rep long")
+    further = _by_block(points, _survivors(percent), "pivot long, rep long")
     left = materialize(near.union(further).distinct().join(bounded, ["pivot", "rep"]).select("pivot", "rep", "n", "may"), "ngram-left")
     discard(bounded)
     wanted = left.select("rep").union(left.where("may").select("pivot")).distinct()
@@ -341,7 +347,7 @@ def links(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> tuple
     blocks = judged.groupBy("pivot").agg(F.count("*").alias("rows"), F.sum("n").alias("m"), F.sum(F.when(F.col("asks"), F.col("n"))).alias("f")).where("f > 0 and rows > 1")
     blocks = blocks.select("pivot", F.ceil(F.col("m") / BLOCK).alias("blocks"), F.ceil(F.col("f") / BLOCK).alias("asking"))
     searched = _blocks(judged.select("pivot", "rep"), judged.where("asks").select("pivot", "rep"), blocks).join(held, "rep").select("pivot", "block", "ask", F.col("rep").alias("doc_id"), "asks", "s")
-    further = searched.groupBy("pivot", "block", "ask").applyInArrow(_search(percent), "x long, y long")
+    further = _by_block(searched, _search(percent), "x long, y long")
     out = materialize(star.select(F.col("rep").alias("x"), F.col("pivot").alias("y")).union(further).distinct(), "ngram-links")
     discard(held, star, judged)
     return members, classes, out

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import public_tokenizers
 import pytest
@@ -185,6 +186,13 @@ def test_ngram_join(spark, monkeypatch):
     assert ngram_join.components(d.limit(0)).collect() == []
 
 
+def test_ngram_join_spreads_the_blocks_of_a_pivot(spark):
+    by_pivot = spark.range(9).selectExpr("id % 2 AS pivot", "id AS rep").repartition("pivot")
+    pairs = by_pivot.selectExpr("pivot", "rep", "rep AS block", "rep AS ask")
+    plan = ngram_join._by_block(pairs, lambda key, t: t, "pivot long, rep long, block long, ask long")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(pivot#\d+L, block#\d+L, ask#\d+L, \d+\)", plan)
+
+
 def test_ngram_join_of_null_and_repeated_ids(spark):
     rng = random.Random(11)
     a, b, c, e, f = (prose(rng, 100) for _ in range(5))

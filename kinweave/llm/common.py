@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.steps import delete_path, discard, fresh_path, materialize, shared_dir  # noqa: F401
+
 #: White space that separates words: \x20 and \x09-\x0D, as a Java class.
 SPACE = r"[ \t-\r]"
 
@@ -18,61 +15,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Where the session names none, a temporary one if all run in this process (tests), else an error: executors elsewhere would each write to a disk of their own."""
-    context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or getattr(context, "_kinweave_shared", None)
-    if not folder:
-        if not re.fullmatch(r"local(\[.*\])?", context.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = f"file://{tempfile.mkdtemp(prefix='kinweave-')}"
-        context._kinweave_shared = folder
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/kinweave/{name}-{uuid.uuid4().hex}"
-
-
-@contextmanager
-def _shuffles_end(spark: SparkSession):
-    """Inside, Spark deletes the shuffle files of a query when it ends. Only for queries whose DataFrame is not run again."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    old = spark.conf.get(name)
-    spark.conf.set(name, True)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, old)
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes df once to the shared folder and reads it back: cuts the lineage, survives lost executors, and gives the planner a size."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    with _shuffles_end(spark):
-        df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._kinweave_path = path
-    return out
-
-
-def discard(*tables: DataFrame) -> None:
-    """Deletes what materialize() wrote, when nothing lazy reads it any more."""
-    for df in tables:
-        path = getattr(df, "_kinweave_path", None)
-        if path:
-            delete_path(df.sparkSession, path)
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def words(text: Column) -> Column:
     """Maximal runs of anything but white space; null and blank texts give an empty array."""
     inner = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))

@@ -36,7 +36,7 @@ def candidates(anchors: DataFrame, targets: DataFrame, vocab: dict[str, DataFram
     q, t = weights(anchors, vocab), weights(targets, vocab)
     code = lambda df: df.withColumn("target_code", F.col("source").cast("long") * 10**12 + F.col("num"))
     sparse = {b: code(tfidf.retrieve(q[b], t[b], k, None if b == "name_word" else query_terms, None if b == "name_word" else pool)) for b in vocab}
-    out = cnd.union(sparse, cnd.capped(cnd.exact(anchors, targets), cap)).join(targets.select(F.col("code").alias("target_code"), F.col("entity_id").alias("target_id")), "target_code")
+    out = cnd.union(sparse, cnd.capped(cnd.exact(anchors, targets, cap), cap)).join(targets.select(F.col("code").alias("target_code"), F.col("entity_id").alias("target_id")), "target_code")
     for b in vocab:
         out = tfidf.cosine(out, q[b], t[b], f"actual_{b}_cosine")
     return out

@@ -1,11 +1,12 @@
 import math
+import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from kinweave.operators import candidates as cnd
-from kinweave.operators import sampling, tfidf
+from kinweave.operators import sampling, search, tfidf
 
 NAMES = ["red fox club", "red fox", "blue fox inn", "red hen", "café de la gare", "gare du nord", "fox", "", "राम stores", "red fox club"]
 
@@ -95,3 +96,51 @@ def test_split_keeps_links_together(spark):
     assert [r[0] for r in sampling.bottom_hash(rec, 5).collect()] == [r[0] for r in sampling.bottom_hash(rec.repartition(5), 5).collect()]
     with pytest.raises(ValueError):
         sampling.refuse_held_out("validation_split")
+
+
+def plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_search_in_shards_is_brute_force(spark, monkeypatch):
+    """Many equal and tied vectors, several shards of each source, lists read in part."""
+    monkeypatch.setattr(tfidf, "SHARD", 300)
+    monkeypatch.setattr(search, "FIRST", 4)
+    rng = random.Random(5)
+    names = [" ".join(rng.sample([f"w{int(rng.paretovariate(0.7)) % 60}" for _ in range(12)], rng.choice([1, 2, 3, 7]))) for _ in range(150)]
+    rows = [(f"S{1 + i % 3}-{i}", 1 + i % 3, i, n, n) for i, n in enumerate(rng.choices(names, k=600))]
+    d = spark.createDataFrame(rows, "entity_id string, source int, num long, name_key string, address_key string")
+    w = tfidf.weigh(d, tfidf.fit(d, "name_word", 2, 0.5), "name_word")
+    v, least = {}, {}
+    for r in w.collect():
+        v.setdefault((r.source, r.num), {})[r.term] = r.w
+    for r in tfidf.prune(w, 2).collect():
+        least.setdefault((r.source, r.num), {})[r.term] = r.w
+    dot = lambda a, b: sum(x * b.get(t, 0) for t, x in a.items())
+    for few, pool in ((None, None), (2, None), (2, 9)):
+        want = {}
+        for q in (q for q in v if q[0] == 1):
+            for s in (2, 3):
+                scored = sorted((-x, t[1]) for t in v if t[0] == s and (x := dot((least if few else v)[q], v[t])))[: pool or 4]
+                if pool:
+                    scored = sorted((-dot(v[q], v[(s, n)]), n) for _, n in scored)[:4]
+                for rank, (x, n) in enumerate(scored, 1):
+                    want[(f"S1-{q[1]}", s, rank)] = (n, f"S{s}-{n}", -x)
+        got = tfidf.retrieve(w.where("source = 1"), w.where("source > 1"), 4, few, pool)
+        assert {(r.query_id, r.source, r["rank"]): (r.num, r.target_id, r.score) for r in got.collect()} == want
+
+
+def test_retrieval_moves_no_pairs(spark):
+    """Neither search nor rescoring joins weights by term."""
+    d = docs(spark)
+    w = tfidf.weigh(d, tfidf.fit(d, "name_word", 1, 1.0), "name_word")
+    q, t = w.where("source = 1"), w.where("source > 1")
+    assert "wq" not in plan(tfidf.retrieve(q, t, 2)) and "wq" not in plan(tfidf.rerank(tfidf.retrieve(q, t, 2), q, t))
+
+
+def test_exact_joins_of_copies_are_capped_before_they_grow(spark):
+    q = spark.range(40).selectExpr("concat('S1-', id) as entity_id", "'acme' as name_key", "if(id < 20, '1 road', '2 road') as address_key")
+    t = spark.range(50).selectExpr("2000000000000 + id div 2 as code", "if(id < 45, 'acme', 'x') as name_key", "if(id > 2, '1 road', '2 road') as address_key")
+    rows = lambda df: sorted((r.query_id, r.target_code, r["mask"]) for r in df.collect())
+    few = cnd.exact(q, t, 3)
+    assert few.count() <= 40 * 6 and rows(cnd.capped(few, 3)) == rows(cnd.capped(cnd.exact(q, t), 3)) and cnd.exact(q, t).count() == 960

@@ -182,7 +182,7 @@ def _classes(size: int, percent: int):
                 a.append(digest[0])
                 b.append(digest[1])
                 found.append(keys(s, percent, limits).view(np.int64) if len(s) else np.empty(0, np.int64))
-                points.append(counts(s).tobytes())
+                points.append(_packed(counts(s)))
             offsets = np.cumsum([0, *map(len, found)]).astype(np.int32)
             flat = np.concatenate(found) if found else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ns, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(points, pa.binary())], ["doc_id", "key", "n", "a", "b", "keys", "point"])
@@ -195,8 +195,17 @@ def counts(s: np.ndarray) -> np.ndarray:
     return np.bincount((_mix(s) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.int32)
 
 
+def _packed(point: np.ndarray) -> bytes:
+    """A point in the narrowest numbers that hold all its counts: one byte each for nearly all texts."""
+    return point.astype(np.uint8 if point.max() < 1 << 8 else np.uint16 if point.max() < 1 << 16 else np.int32).tobytes()
+
+
 def _points(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.int32).reshape(-1, GROUPS)
+    rows = column.to_pylist()
+    kinds = {GROUPS: np.uint8, 2 * GROUPS: np.uint16, 4 * GROUPS: np.int32}
+    if all(len(r) == GROUPS for r in rows):
+        return np.frombuffer(b"".join(rows), np.uint8).reshape(-1, GROUPS)
+    return np.array([np.frombuffer(r, kinds[len(r)]) for r in rows], np.int32)
 
 
 def _bounded(percent: int):
@@ -216,6 +225,7 @@ class RTree:
     """Points packed in the order of their size and first coordinates, with the largest coordinates (and sizes) of each node."""
 
     def __init__(self, points: np.ndarray):
+        points = points.astype(np.int32, copy=False)
         sizes = points.sum(1)
         self.order = np.lexsort((points[:, 1], points[:, 0], sizes // 8)) if len(points) else np.empty(0, int)
         self.levels = [points[self.order]]

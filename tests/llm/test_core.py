@@ -245,3 +245,13 @@ def test_bpe_compares_what_its_ids_decode_to():
     assert bpe._ids(batch, Encoding(), [b"a", b"b"], None).column("n_bytes").to_pylist() == [2, 0, 0]
     with pytest.raises(ValueError, match="decode"):
         bpe._ids(batch, Encoding(), [b"a", b"c"], None)
+
+
+def test_points_move_in_a_byte_a_count():
+    """Counts of any size come back whole, also beside others; those of common texts take 256 bytes."""
+    points = [np.array([k, top, *[0] * (ngram_join.GROUPS - 2)], np.int32) for k, top in enumerate((0, 255, 256, 65_535, 65_536))]
+    packed = [ngram_join._packed(p) for p in points]
+    assert [len(p) for p in packed] == [256, 256, 512, 512, 1024]
+    for some in (packed, packed[:2], packed[2:3]):
+        want = points[packed.index(some[0]) :][: len(some)]
+        assert (ngram_join._points(pa.array(some, pa.binary())) == np.array(want)).all()

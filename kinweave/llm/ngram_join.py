@@ -328,7 +328,8 @@ def links(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> tuple
     sets = materialize(sets.withColumn("rep", F.monotonically_increasing_id()), "ngram-classes")
     discard(found)
     classes = materialize(sets.select("a", "b", "rep", "first"), "ngram-reps")
-    cells = sets.select("rep", F.explode("keys").alias("key"))
+    # dealt once for the pivots and the join; with the conditions here, none is added to one side, which would deal the rows twice
+    cells = sets.select("rep", F.explode("keys").alias("key")).where("key is not null and rep is not null").repartition("key")
     pivots = cells.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("m")).where("m > 1").drop("m")
     pairs = materialize(cells.join(pivots, "key").where("rep <> pivot").select("rep", "pivot").distinct(), "ngram-pairs")
     points = pairs.join(sets.select("rep", "n", "point"), "rep").join(sets.select(F.col("rep").alias("pivot"), F.col("n").alias("m"), F.col("point").alias("other")), "pivot")

@@ -356,3 +356,20 @@ def test_repeat_words_brute_force(spark):
         grams = [tuple(w[k : k + 3]) for k in range(len(w) - 2)]
         hit = {k + j for k, g in enumerate(grams) if grams.count(g) > 1 for j in range(3)}
         assert r.n_repeat_words == len(hit), w
+
+
+def test_cells_of_the_ngram_join_are_dealt_once(spark, monkeypatch):
+    plans = {}
+
+    def watched(df, name, write=ngram_join.materialize):
+        if name == "ngram-pairs":
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
+            df.collect()
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(ngram_join, "materialize", watched)
+    rng = random.Random(4)
+    texts = [prose(rng, 60) for _ in range(6)]
+    ngram_join.links(docs(spark, *[(i, f"{texts[i % 6]} x{i}", "a") for i in range(24)]))
+    assert "ReusedExchange" in plans["ngram-pairs"].split("Initial Plan")[0]

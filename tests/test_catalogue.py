@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from kinweave.plans import catalogue
+from kinweave.sources.steps import finish, materialize, shared_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,3 +28,44 @@ def test_entry_point():
     import __spark_entry__ as e
 
     assert set(catalogue.ORACLES) <= set(catalogue.QUERIES) and set(e.oracle_sql()) <= set(e.queries())
+
+
+#: Queries over the candidates: they failed by disk at 1 GB.
+OVER_CANDIDATES = ("error_groups",)
+
+
+@pytest.fixture(scope="module")
+def few(spark, tmp_path_factory):
+    rows = [(i, f"{'red blue green grey'.split()[i % 4]} fox club {i % 7}. {i % 5} main street. And more words {i % 3}.", "en", f"src{i % 3}", 40 + i) for i in range(40)]
+    folder = tmp_path_factory.mktemp("few")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", OVER_CANDIDATES)
+def test_candidates_are_found_once_and_leave_no_steps(spark, few, monkeypatch, name):
+    """However often a query reads them; of what the search wrote only the candidates stay."""
+    calls, real = [], catalogue.tfidf.retrieve
+    monkeypatch.setattr(catalogue.tfidf, "retrieve", lambda *a, **b: calls.append(a) or real(*a, **b))
+    folder = Path(shared_dir(spark).removeprefix("file:"), "kinweave")
+    before = set(folder.glob("*"))
+    catalogue.QUERIES[name](spark, few)
+    assert len(calls) == 1
+    assert [p.name.rpartition("-")[0] for p in set(folder.glob("*")) - before] == ["candidates"]
+
+
+def test_finish_deletes_its_steps_also_after_errors(spark):
+    folder = Path(shared_dir(spark).removeprefix("file:"), "kinweave")
+    before = set(folder.glob("*"))
+
+    def build(fails):
+        step = materialize(spark.range(3), "step")
+        if fails:
+            raise KeyError("planted")
+        return finish(lambda: materialize(step, "inner").union(step), "half")
+
+    with pytest.raises(KeyError):
+        finish(lambda: build(True), "none")
+    assert set(folder.glob("*")) == before
+    assert finish(lambda: build(False), "whole").count() == 6
+    assert [p.name.rpartition("-")[0] for p in set(folder.glob("*")) - before] == ["whole"]

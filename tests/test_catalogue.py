@@ -31,7 +31,7 @@ def test_entry_point():
 
 
 #: Queries over the candidates: they failed by disk at 1 GB.
-OVER_CANDIDATES = ("error_groups",)
+OVER_CANDIDATES = ("error_groups", "candidate_union")
 
 
 @pytest.fixture(scope="module")

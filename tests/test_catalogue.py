@@ -31,7 +31,7 @@ def test_entry_point():
 
 
 #: Queries over the candidates: they failed by disk at 1 GB.
-OVER_CANDIDATES = ("error_groups", "candidate_union", "graph_support_max", "reference_context_similarity", "pair_advanced_features", "threshold_sweep", "error_examples", "graph_context", "candidate_labels")
+OVER_CANDIDATES = ("error_groups", "candidate_union", "graph_support_max", "reference_context_similarity", "pair_advanced_features", "threshold_sweep", "error_examples", "graph_context", "candidate_labels", "entity_f05")
 
 
 @pytest.fixture(scope="module")

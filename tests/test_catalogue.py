@@ -31,7 +31,7 @@ def test_entry_point():
 
 
 #: Queries over the candidates: they failed by disk at 1 GB.
-OVER_CANDIDATES = ("error_groups", "candidate_union", "graph_support_max", "reference_context_similarity", "pair_advanced_features", "threshold_sweep", "error_examples", "graph_context", "candidate_labels", "entity_f05", "metric_summary", "recall_by_bucket", "recall_by_source", "recall_overall", "worst_entities", "bootstrap_interval", "matching_results", "pair_retrieval_features", "recall_by_country")
+OVER_CANDIDATES = ("error_groups", "candidate_union", "graph_support_max", "reference_context_similarity", "pair_advanced_features", "threshold_sweep", "error_examples", "graph_context", "candidate_labels", "entity_f05", "metric_summary", "recall_by_bucket", "recall_by_source", "recall_overall", "worst_entities", "bootstrap_interval", "matching_results", "pair_retrieval_features", "recall_by_country", "recall_incremental")
 
 
 @pytest.fixture(scope="module")

@@ -45,14 +45,18 @@ def context(scored: DataFrame) -> DataFrame:
 
 def comparisons(scored: DataFrame, targets: DataFrame) -> DataFrame:
     """query_id, target_code and, for each of COMPARED, the largest value between the candidate and a support, at least 0. targets: prepared."""
-    s = supported(scored).where("ok").select("query_id", "target_code", "support")
+    of = supported(scored).where("ok").groupBy("query_id", "target_code").agg(F.array_sort(F.collect_list("support")).alias("supports"))
+    s = scored.select("query_id", "target_code").join(of, ["query_id", "target_code"], "left")
+    # anchors share targets and supports: each two targets are compared once, each target with its supports is one group
+    group = s.where("supports is not null").select("target_code", "supports").distinct()
+    member = group.select("*", F.explode("supports").alias("support"))
     t, v = targets.select("code", F.struct(*targets.columns).alias("r")), features.views(targets)
-    p = s.join(t.select(F.col("code").alias("target_code"), F.col("r").alias("left")), "target_code").join(t.select(F.col("code").alias("support"), F.col("r").alias("right")), "support")
+    p = member.select("target_code", "support").distinct().join(t.select(F.col("code").alias("target_code"), F.col("r").alias("left")), "target_code").join(t.select(F.col("code").alias("support"), F.col("r").alias("right")), "support")
     p = features.with_views(p, v, v, ("target_code", "support"), ("code", "code"))
     every = features.record_features(F.col("left"), F.col("right")) | features.view_columns()
-    each = p.select("query_id", "target_code", *[every[c].cast("double").alias(c) for c in COMPARED])
-    best = each.groupBy("query_id", "target_code").agg(*[F.greatest(F.max(c), F.lit(0.0)).alias(f"graph_support_max_{c}") for c in COMPARED])
-    return scored.select("query_id", "target_code").join(best, ["query_id", "target_code"], "left").na.fill(0.0)
+    each = p.select("target_code", "support", *[every[c].cast("double").alias(c) for c in COMPARED])
+    best = member.join(each, ["target_code", "support"]).groupBy("target_code", "supports").agg(*[F.greatest(F.max(c), F.lit(0.0)).alias(f"graph_support_max_{c}") for c in COMPARED])
+    return s.join(best, ["target_code", "supports"], "left").select("query_id", "target_code", *[f"graph_support_max_{c}" for c in COMPARED]).na.fill(0.0)
 
 
 def build(scored: DataFrame, targets: DataFrame, role: str) -> DataFrame:

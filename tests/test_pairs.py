@@ -85,3 +85,22 @@ def test_validation(spark):
     assert {r.severity for r in validate.official(bad, good, a).where("kind = 'not_a_candidate'").collect()} == {"warning"}
     lines = spark.createDataFrame([(0, "source1_entity_id\tmatched"), (1, "S1-1\tS2-1\tx"), (2, "S1-1\t")], "line long, value string")
     assert sorted(r.kind for r in validate.parse(lines, "matching_results")[1].collect()) == ["columns", "header"]
+
+
+def test_graph_compares_two_targets_once(spark, monkeypatch):
+    """However many anchors have them as candidates; anchors with other supports, or none, keep their own values."""
+    rows = [("S2-1", "red fox", "1 main road", "US"), ("S2-2", "red fox", "9 main road", "US"), ("S3-3", "blue hen", "1 main road", "FR")]
+    t = records.prepare(spark.createDataFrame(rows, "entity_id string, business_name string, business_address string, country string"))
+    a, b, c = 2 * 10**12 + 1, 2 * 10**12 + 2, 3 * 10**12 + 3
+    scored = [(f"S1-{q}", x, 0.99) for q in range(5) for x in (a, b)] + [("S1-8", a, 0.99), ("S1-8", c, 0.99), ("S1-9", a, 0.5), ("S1-9", 7, 0.99)]
+    compared, real = [], features.with_views
+    monkeypatch.setattr(graph.features, "with_views", lambda p, *x: compared.append(p) or real(p, *x))
+    got = {(r.query_id, r.target_code): r for r in graph.comparisons(spark.createDataFrame(scored, "query_id string, target_code long, score double"), t).collect()}
+    assert len(got) == len(scored)
+    assert sorted((r.target_code, r.support) for r in compared[0].select("target_code", "support").collect()) == [(a, b), (a, c), (b, a), (c, a)]
+    for q in range(5):
+        r = got[f"S1-{q}", a]
+        assert (r.graph_support_max_name_exact, r.graph_support_max_address_exact, r.graph_support_max_country_equal) == (1, 0, 1)
+    r = got["S1-8", a]
+    assert (r.graph_support_max_name_exact, r.graph_support_max_address_exact, r.graph_support_max_country_equal) == (0, 1, 0)
+    assert not any(got["S1-9", x][f"graph_support_max_{y}"] for x in (a, 7) for y in ("name_exact", "address_exact", "country_equal"))

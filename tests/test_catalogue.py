@@ -69,3 +69,14 @@ def test_finish_deletes_its_steps_also_after_errors(spark):
     assert set(folder.glob("*")) == before
     assert finish(lambda: build(False), "whole").count() == 6
     assert [p.name.rpartition("-")[0] for p in set(folder.glob("*")) - before] == ["whole"]
+
+
+def test_recall_by_source_counts_every_equal_target(spark, tmp_path):
+    """Links behind an anchor's first three equal names too; the search finds none, as the names' words are too frequent."""
+    row = lambda i, source: (i, f"Acme stores. {i} main road in a small town far away. {'and so on ' * 12}", "en", source, 40)
+    rows = [(i, "Acme stores. 1 main road. " + "and so on " * 12, "en", f"src{0 if i == 1 else 1 + i % 2}", 40) for i in range(1, 22)] + [row(100 + i, "src1") for i in range(5)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = {(2, 10, 10), (3, 10, 10)}
+    assert {tuple(r) for r in catalogue.QUERIES["recall_by_source"](spark, str(tmp_path)).collect()} == want == set(con.execute(catalogue.ORACLES["recall_by_source"]).fetchall())

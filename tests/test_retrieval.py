@@ -144,3 +144,14 @@ def test_exact_joins_of_copies_are_capped_before_they_grow(spark):
     rows = lambda df: sorted((r.query_id, r.target_code, r["mask"]) for r in df.collect())
     few = cnd.exact(q, t, 3)
     assert few.count() <= 40 * 6 and rows(cnd.capped(few, 3)) == rows(cnd.capped(cnd.exact(q, t), 3)) and cnd.exact(q, t).count() == 960
+
+
+def test_exact_among_pairs_is_the_exact_join_without_a_cap(spark):
+    """Of the given pairs those that the joins give, each once; null and empty keys, repeated ids and unknown ones."""
+    q = spark.createDataFrame([("S1-1", "acme", "1 road"), ("S1-2", "", "2 road"), ("S1-3", None, "road"), ("S1-4", "acme", None), ("S1-4", "fox", "1 road")], "entity_id string, name_key string, address_key string")
+    t = spark.createDataFrame([(1, "acme", "1 road"), (2, "acme", "road"), (3, "", "2 road"), (4, None, "road"), (5, "fox", None), (5, "fox", "1 road")], "code long, name_key string, address_key string")
+    every = q.select(F.col("entity_id").alias("query_id")).crossJoin(t.select(F.col("code").alias("target_code")))
+    some = every.where("target_code % 2 = 1").unionByName(spark.createDataFrame([("S1-9", 1), ("S1-1", 9)], "query_id string, target_code long"))
+    rows = lambda df: sorted((r.query_id, r.target_code, r["mask"]) for r in df.collect())
+    assert rows(cnd.exact_among(every, q, t)) == rows(cnd.exact(q, t))
+    assert rows(cnd.exact_among(some, q, t)) == [r for r in rows(cnd.exact(q, t)) if r[1] % 2 == 1]

@@ -42,18 +42,29 @@ def counts(pairs: DataFrame, anchors: DataFrame, targets: DataFrame) -> DataFram
 
 
 def features(pairs: DataFrame, anchors: DataFrame, targets: DataFrame) -> DataFrame:
-    """query_id, target_code and NAMES. An anchor isn't its own competitor; it is left out after the limit."""
-    t = targets.select(F.col("code").alias("target_code"), *KINDS, F.col("address").alias("t_address"), F.col("numbers").alias("t_numbers"), F.col("country_key").alias("t_country"))
-    q = anchors.select(F.col("entity_id").alias("query_id"), F.col("address").alias("q_address"))
-    base = pairs.select("query_id", "target_code").join(t, "target_code").join(q, "query_id").withColumn("_own", sim.token_sort(F.col("q_address"), F.col("t_address")))
-    out = pairs.select("query_id", "target_code")
+    """query_id, target_code and NAMES, over all owners of a key. An anchor isn't its own competitor. Owners of a legal name are among those of its core, so the core's are compared for both; equal owners once, and equal questions (a target's values and the anchor) once. Owners of a key are dealt in parts of about MOST; overflow says that there are more than MOST, which are compared all the same."""
+    values = ("address", "numbers", "country_key")
+    t = targets.select(F.col("code").alias("target_code"), *KINDS, *[F.col(v).alias(f"t_{v}") for v in values])
+    base = pairs.select("query_id", "target_code").join(t, "target_code").select("query_id", "target_code", F.struct("query_id", *KINDS, *[f"t_{v}" for v in values]).alias("asked"))
+    a = anchors.where("core <> ''").select(F.coalesce("entity_id", F.lit("")).alias("id"), *KINDS, *values)
+    alike = a.groupBy(*KINDS, *values).agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
+    parts = alike.groupBy("core").agg(F.ceil(F.count("*") / MOST).alias("parts"), F.sum("n").alias("n_core"), F.min("low"), F.max("high"))  # all columns, so that the shuffle is owner's too
+    owner = alike.join(parts.select("core", "parts"), "core").withColumn("part", F.pmod(F.xxhash64("legal", *values), F.col("parts"))).select("core", "part", F.col("legal").alias("o_legal"), *values, "n", "low", "high")
+    each = base.select("asked").distinct().select("asked", "asked.*").join(parts.select("core", "parts", "n_core"), "core").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).join(owner, ["core", "part"])
+    other = ~((F.col("low") == F.col("query_id")) & (F.col("high") == F.col("query_id")))
+    each = each.withColumn("_f", sim.fuzzy(F.col("t_address"), F.when(other, F.col("address")))).withColumn("_num", F.when(other, F.coalesce(sim.jaccard(F.col("numbers"), F.col("t_numbers")), F.lit(0.0))).otherwise(0.0))
+    joint = F.when(other & (F.col("country_key") == F.col("t_country_key")), (F.col("_f.ratio") + F.col("_f.token_sort") + F.col("_num")) / 3).otherwise(0.0)
+    compared = dict(zip(FIELDS[2:7], (F.col("_f.ratio"), F.col("_f.token_set"), F.col("_f.token_sort"), F.col("_num"), joint), strict=True))
+    same = {"legal": F.col("o_legal") == F.col("legal"), "core": F.lit(True)}
+    found = each.groupBy("asked").agg(F.sum(F.when(same["legal"], F.col("n"))).alias("n_legal"), F.max("n_core").alias("n_core"), *[F.max(F.when(same[k], x)).alias(f"{PREFIX[k]}_{f}") for k in KINDS for f, x in compared.items()])
+    q = anchors.groupBy(F.col("entity_id").alias("query_id")).agg(F.max("address").alias("q_address"), *[F.collect_list(k).alias(f"q_{k}") for k in KINDS])
+    out = base.join(q, "query_id").join(found, "asked", "left").withColumn("_own", sim.token_sort(F.col("q_address"), F.col("asked.t_address")))
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    made = {}
     for kind in KINDS:
-        o = owners(anchors, kind).withColumnRenamed("key", kind)
-        each = base.join(o, kind, "left").withColumn("owner", F.explode_outer(F.filter("owners", lambda w: w["entity_id"] != F.col("query_id"))))
-        each = each.withColumn("_a", F.coalesce("owner.address", F.lit("")))
-        each = each.withColumn("_r", sim.indel(F.col("_a"), F.col("t_address"))).withColumn("_set", sim.token_set(F.col("_a"), F.col("t_address"))).withColumn("_sort", sim.token_sort(F.col("_a"), F.col("t_address"))).withColumn("_num", F.coalesce(sim.jaccard(F.col("owner.numbers"), F.col("t_numbers")), F.lit(0.0)))
-        joint = F.when(F.col("owner.country_key") == F.col("t_country"), (F.col("_r") + F.col("_sort") + F.col("_num")) / 3).otherwise(0.0)
-        most = lambda c: F.coalesce(F.max(c), F.lit(0.0))
-        agg = each.groupBy("query_id", "target_code").agg(F.log1p(F.count("owner")).alias("other_count_log"), F.max(F.coalesce((F.col("n_owners") > MOST).cast("double"), F.lit(0.0))).alias("overflow"), most("_r").alias("other_address_ratio"), most("_set").alias("other_address_token_set"), most("_sort").alias("other_address_token_sort"), most("_num").alias("other_number_jaccard"), most(joint).alias("other_joint"), (F.first("_own") - most("_sort")).alias("address_margin"))
-        out = out.join(agg.select("query_id", "target_code", *[F.col(f).alias(f"{PREFIX[kind]}_{f}") for f in FIELDS]), ["query_id", "target_code"])
-    return out
+        mine = F.size(F.filter(f"q_{kind}", lambda x: x == F.col(f"asked.{kind}")))  # noqa: B023
+        made |= {f"{PREFIX[kind]}_{f}": zero(F.col(f"{PREFIX[kind]}_{f}")) for f in compared}
+        made[f"{PREFIX[kind]}_other_count_log"] = zero(F.log1p(F.col(f"n_{kind}") - mine))
+        made[f"{PREFIX[kind]}_overflow"] = zero((F.col(f"n_{kind}") > MOST).cast("double"))
+        made[f"{PREFIX[kind]}_address_margin"] = F.col("_own") - made[f"{PREFIX[kind]}_other_address_token_sort"]
+    return out.groupBy("query_id", "target_code").agg(*[F.max(made[f]).alias(f) for f in NAMES])

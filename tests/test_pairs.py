@@ -1,6 +1,9 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
+from kinweave.functions import similarity as sim
 from kinweave.operators import context, features, graph, translate, validate
 from kinweave.sources import records
 
@@ -104,3 +107,26 @@ def test_graph_compares_two_targets_once(spark, monkeypatch):
     r = got["S1-8", a]
     assert (r.graph_support_max_name_exact, r.graph_support_max_address_exact, r.graph_support_max_country_equal) == (0, 1, 0)
     assert not any(got["S1-9", x][f"graph_support_max_{y}"] for x in (a, 7) for y in ("name_exact", "address_exact", "country_equal"))
+
+
+def test_all_competing_references_are_compared(spark):
+    """Keys of more than 100 owners too: equal owners, an own id among them, a null id, country and address, and a legal name whose core has more owners, against brute force."""
+    rows = [(f"S1-{i}", "acme ltd" if i < 130 else "acme", None if i == 50 else f"{i // 2 if i < 20 else i} {'main high long'.split()[i % 3]} road", None if i == 51 else ("US", "FR")[i % 2]) for i in range(160)]
+    rows += [("S1-999", "acme ltd", "7 high road west", "US"), ("S1-900", "fox", "5 hill", "US"), ("S1-901", "fox", "5 hill", "US"), ("S1-902", "", "", "")]
+    rows += [(f"S2-{i}", n, x, c) for i, (n, x, c) in enumerate([("acme ltd", "7 high road west", "US"), ("acme", "121 main road", "FR"), ("acme ltd", "", "US"), ("fox", "5 hill", None), ("hen", "5 hill", "US"), ("", "5 hill", "US"), ("acme ltd", "121 main road", "FR")])]
+    k = context.keys(records.prepare(spark.createDataFrame(rows, records.RECORD))).withColumn("entity_id", F.expr("nullif(entity_id, 'S1-999')")).cache()
+    every = {r.entity_id: r for r in k.where("entity_id is not null").collect()}
+    anchors = k.where("entity_id is null or entity_id like 'S1%'")
+    owners, ask = anchors.collect(), [(f"S1-{q}", 2 * 10**12 + t) for q in (0, 1, 50, 121, 140, 900, 902) for t in range(7)]
+    got = {(r.query_id, r.target_code): r for r in context.features(pairs(spark, *ask), anchors, k.where("entity_id like 'S2%'")).collect()}
+    assert len(got) == len(ask)
+    for query, code in ask:
+        q, t = every[query], every[f"S2-{code % 10}"]
+        for kind in context.KINDS:
+            of = [o for o in owners if o[kind] and o[kind] == t[kind]]
+            rest = [o for o in of if o.entity_id != query]
+            x = [(sim.fuzz_ratio(o.address or "", t.address), sim.token_set_ratio(o.address or "", t.address), sim.token_sort_ratio(o.address or "", t.address), len({*(o.numbers or ())} & {*t.numbers}) / max(1, len({*(o.numbers or ())} | {*t.numbers})), o.country_key == t.country_key and t.country_key is not None) for o in rest]
+            most = [max((y[i] for y in x), default=0) for i in range(4)]
+            want = [math.log1p(len(rest)), float(len(of) > 100), *most, max((y[4] * (y[0] + y[2] + y[3]) / 3 for y in x), default=0), sim.token_sort_ratio(q.address or "", t.address) - most[2]]
+            assert [got[query, code][f"{context.PREFIX[kind]}_{f}"] for f in context.FIELDS] == pytest.approx(want), (query, code, kind)
+    assert got["S1-0", 2 * 10**12].reference_name_overflow == got["S1-0", 2 * 10**12].reference_name_other_address_ratio == 1

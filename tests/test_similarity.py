@@ -55,3 +55,16 @@ def test_udf_batches(spark):
 def test_partial_ratio_of_equal_texts_needs_no_windows(monkeypatch):
     monkeypatch.setattr(sim, "common_subsequence", lambda *_: 1 / 0)
     assert sim.partial_ratio("red fox club", "red fox club") == 1.0 and sim.partial_ratio("", "") == 0.0
+
+
+def test_ratios_of_many_pairs_are_those_of_each():
+    """Texts of several words of bits, empty ones, other alphabets, common and repeated tokens."""
+    rng = random.Random(5)
+    texts = ["", "a", "a a", "fox hen", "hen fox", "b" * 64, "b" * 65, "ab" * 100, *[" ".join(rng.choice("the fox hen é и 路 und of 12 7 main".split()) for _ in range(rng.randrange(1, 60))) for _ in range(40)], *["".join(rng.choice("abcd ") for _ in range(rng.randrange(1, 200))).strip() for _ in range(30)]]
+    a, b = zip(*[(x, y) for x in texts for y in texts], strict=True)
+    got = sim.fuzzy_ratios([*a], [*b])
+    for f, values in zip((sim.fuzz_ratio, sim.token_set_ratio, sim.token_sort_ratio), got, strict=True):
+        assert [*values] == [f(x, y) for x, y in zip(a, b, strict=True)]
+    far = ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(90)) for _ in range(90)]
+    assert [*sim.common_subsequences(far, far[::-1])] == [*map(sim.common_subsequence, far, far[::-1])]
+    assert len(sim.common_subsequences([], [])) == 0
